@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contigloom.llm import decontam, licenses, near_dedup, token_counts, token_files, toxicity
+from contigloom.llm import decontam, fair_mix, kd_shards, licenses, near_dedup, token_counts, token_files, toxicity, voronoi_knn, wrappers
 from contigloom.runtime import scratch
 
 
@@ -36,6 +36,22 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(_table(spark, sf_dir, "pages"))
+
+
+def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.kd_shards(_table(spark, sf_dir, "documents"), shards=40)
+
+
+def op6_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fair_mix.mixed_sizes(_table(spark, sf_dir, "documents"))
+
+
+def op7_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi_knn.top_k(_table(spark, sf_dir, "embeddings"), lambda key: key % 50 == 0)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
@@ -52,6 +68,10 @@ QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_token_files": op2_token_files,
     "op3_toxicity": op3_toxicity,
+    "op4_main_text": op4_main_text,
+    "op5_kd_shards": op5_kd_shards,
+    "op6_fair_mix": op6_fair_mix,
+    "op7_voronoi_knn": op7_voronoi_knn,
     "op8_token_counts": op8_token_counts,
     "op9_near_dedup": op9_near_dedup,
     "op10_decontamination": op10_decontamination,

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contigloom.operators.graph import connected_components
-from contigloom.runtime import drop, keep, ship
+from contigloom.runtime import keep, ship
 
 BANDS, ROWS = 24, 5
 M = BANDS * ROWS
@@ -79,26 +79,23 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     return np.clip(k, 0, LIMIT + 1).astype("<u2")
 
 
+_GRID = np.linspace(0, 1, 101)
+
+
 def joint_estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Most likely Jaccard similarity of row pairs of registers, the set sizes being known."""
-    up, down = (a > b).sum(1), (a < b).sum(1)
+    """Most likely Jaccard similarity (in hundredths) of row pairs of registers, the set sizes being known."""
+    up, down = (a > b).sum(1)[:, None], (a < b).sum(1)[:, None]
     same = a.shape[1] - up - down
-    u, v = n_a / (n_a + n_b), n_b / (n_a + n_b)
+    u, v = (n_a / (n_a + n_b))[:, None], (n_b / (n_a + n_b))[:, None]
+    tiny = 1e-12
 
     def p(x):
         return -np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / math.log(BASE)
 
-    def likelihood(j):
-        more, less = p(u - v * j), p(v - u * j)
-        tiny = 1e-12
-        return up * np.log(more + tiny) + down * np.log(less + tiny) + same * np.log(np.maximum(1 - more - less, tiny))
-
-    lo, hi = np.zeros(len(u)), np.minimum(u / v, v / u)
-    for _ in range(40):
-        third = (hi - lo) / 3
-        left = likelihood(lo + third) < likelihood(hi - third)
-        lo, hi = np.where(left, lo + third, lo), np.where(left, hi, hi - third)
-    return (lo + hi) / 2
+    more, less = p(u - v * _GRID), p(v - u * _GRID)
+    likelihood = up * np.log(more + tiny) + down * np.log(less + tiny) + same * np.log(np.maximum(1 - more - less, tiny))
+    likelihood[np.minimum(u / v, v / u) + 0.005 < _GRID] = -np.inf
+    return _GRID[likelihood.argmax(1)]
 
 
 def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:
@@ -122,56 +119,103 @@ def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     return docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias(text)).mapInArrow(run, f"`{key}` {kind}, n_shingles long, set_hash binary, sketch binary")
 
 
-def _estimated(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) whose sizes allow the similarity and whose registers do not rule it out."""
-    na, nb = (nodes.select(F.col("rep").alias(k), F.col("n_shingles").alias(f"n{k}"), F.col("sketch").alias(f"s{k}")) for k in "ab")
-    percent = round(least * 100)
-    slack = 5 * math.sqrt(least * (1 - least) / M)
-    sized = pairs.join(na, "a").join(nb, "b").filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                b = batch.slice(at, 2048)
-                x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), "<u2").reshape(-1, M) for i in (3, 5))
-                j = joint_estimate(x, y, *(b.column(i).to_numpy().astype(float) for i in (2, 4)))
-                yield b.select([0, 1]).filter(pa.array(j >= least - slack))
-
-    return sized.select("a", "b", "na", "sa", "nb", "sb").mapInArrow(run, pairs.select("a", "b").schema)
-
+class Family:
+    """Documents that may be similar to one another: finds links enough to connect all that are linked."""
+
+    def __init__(self, keys: list, blocks: list[int], cross: bool, texts: list[bytes]):
+        self.keys, self.blocks, self.cross, self.texts = keys, np.array(blocks), cross, texts
+
+    def links(self, sets: list[np.ndarray], regs: np.ndarray, least: float) -> list[tuple[int, int]]:
+        """Pairs of places. A pair is verified on its full sets if it shares a band, its sizes and registers allow the similarity, and its
+        documents are not connected yet; the likeliest pairs first."""
+        n, percent = len(sets), round(least * 100)
+        slack = 5 * math.sqrt(least * (1 - least) / M)
+        size = np.array([len(s) for s in sets])
+        parts = regs.reshape(n, BANDS, ROWS).astype(np.uint64)
+        bands = np.zeros((n, BANDS), np.uint64)
+        for i in range(ROWS):
+            bands = bands * _STEP + parts[:, :, i]
+        component, found = np.arange(n), []
+        for x in range(n - 1):
+            y = np.arange(x + 1, n)
+            ok = (component[y] != component[x]) & (100 * np.minimum(size[y], size[x]) >= percent * np.maximum(size[y], size[x]))
+            if self.cross:
+                ok &= self.blocks[y] != self.blocks[x]
+            y = y[ok]
+            y = y[(bands[y] == bands[x]).any(1)]
+            if not len(y):
+                continue
+            j = joint_estimate(np.broadcast_to(regs[x], (len(y), M)), regs[y], np.full(len(y), float(size[x])), size[y].astype(float))
+            for k in np.argsort(-j, kind="stable").tolist():
+                other = int(y[k])
+                if j[k] < least - slack:
+                    break
+                if component[other] == component[x]:
+                    continue
+                at = np.searchsorted(sets[x], sets[other])
+                both = int((sets[x][np.minimum(at, size[x] - 1)] == sets[other]).sum())
+                if 100 * both >= percent * (size[x] + size[other] - both):
+                    found.append((x, other))
+                    component[component == component[other]] = component[x]
+        return found
+
+
+def links_of(rows: DataFrame, width: int, least: float) -> DataFrame:
+    """Links (a, b) inside blocks of families: rows (family, i, j, block, rep, text) hold, for every pair of blocks of a family, the documents of both.
+
+    The rows of one pair of blocks, a bounded number, are next to one another in a task, and the links of a task connect what is linked in it.
+    """
 
-def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    ta, tb = (texts.select(F.col("rep").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
+    def solve(ready: list[Family], shingles: Shingler) -> pa.RecordBatch:
+        sets = [[shingles(t) for t in f.texts] for f in ready]
+        regs = registers([s for own in sets for s in own])
+        a, b, at = [], [], 0
+        for f, own in zip(ready, sets):
+            for x, y in f.links(own, regs[at : at + len(own)], least):
+                a.append(f.keys[x])
+                b.append(f.keys[y])
+            at += len(own)
+        return pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, last, set_a = Shingler(width), None, None
+        shingles, last, keys, blocks, texts, ready, held = Shingler(width), None, [], [], [], [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                b = batch.slice(at, 64)
-                good = []
-                for a, x, y in zip(b.column(0).to_pylist(), *(b.column(i).cast(pa.binary()).to_pylist() for i in (2, 3))):
-                    if a != last:
-                        last, set_a = a, shingles(x)
-                    set_b = shingles(y)
-                    both = len(set_a) + len(set_b) - len(np.union1d(set_a, set_b))
-                    good.append(100 * both >= percent * (len(set_a) + len(set_b) - both))
-                yield b.select([0, 1]).filter(pa.array(good, pa.bool_()))
-
-    return pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb").mapInArrow(run, pairs.select("a", "b").schema)
-
-
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.85, star_rounds: int = 6) -> DataFrame:
+            for at in range(0, batch.num_rows, 256):
+                b = batch.slice(at, 256)
+                for family, i, j, block, rep, text in zip(*(b.column(k).to_pylist() for k in range(5)), b.column(5).cast(pa.binary()).to_pylist()):
+                    if (family, i, j) != last:
+                        if len(keys) > 1:
+                            ready.append(Family(keys, blocks, last[1] != last[2], texts))
+                            held += len(keys)
+                        if held >= 64:
+                            yield solve(ready, shingles)
+                            ready, held = [], 0
+                        last, keys, blocks, texts = (family, i, j), [], [], []
+                    keys.append(rep)
+                    blocks.append(block)
+                    texts.append(text)
+        if len(keys) > 1:
+            ready.append(Family(keys, blocks, last[1] != last[2], texts))
+        if ready:
+            yield solve(ready, shingles)
+
+    spark_kind = rows.schema["rep"].dataType.simpleString()
+    kind = rows.limit(0).select("rep").toArrow().schema.field(0).type
+    ordered = rows.select("family", "i", "j", "block", "rep", "text").repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
+    return ordered.mapInArrow(run, f"a {spark_kind}, b {spark_kind}")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.85, block_rows: int = 512, block_shingles: int = 2_000_000) -> DataFrame:
     """key, n_shingles, component_id (smallest key reachable over links) and kept (is that key) of every row.
 
-    Links join sets with 100 * intersection >= 85 * union. Equal sets are one node from the start, so copies cost no pairs. In each
-    bucket of a band the members are first compared with one centre; only members of different components are compared further,
-    with other centres while that is many pairs, and at last one by one, so no link between different sets in a shared bucket is lost and
-    a group of n near copies costs about n pairs. A pair at the limit shares no band with a probability below one in a million.
+    Links join sets with 100 * intersection >= 85 * union. Equal sets are one node from the start, so copies cost no pairs. Nodes that share a band's bucket are
+    tied to the bucket's smallest node, and what is tied together is a family. A family is cut into blocks of about block_rows documents, and
+    every pair of blocks is solved by itself, so no link between different sets that share a bucket is lost, no task holds more than two blocks, and
+    no pairs are written but links that connect. A pair at the limit shares no band with a probability below one in a million.
     Null or word-less texts: 0 shingles, linked with nothing. Null keys: never a component's name; a group of only null keys
     has component null and is not kept. Rows that share a key are one document. Extra columns are left out.
     """
-    spark, percent = docs.sparkSession, round(least * 100)
+    spark = docs.sparkSession
     ship(spark)
     docs = docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     sk = keep(sketch(docs, "doc", "text", width), "sketches")
@@ -179,46 +223,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     nodes = keep(nodes, "nodes")
     bands = F.array(*(F.xxhash64(F.lit(i), F.substring("sketch", 1 + 2 * ROWS * i, 2 * ROWS)) for i in range(BANDS)))
     rows = nodes.filter("rep is not null").select("rep", F.explode(bands).alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("bucket")
-    multi = keep(rows.join(shared, "bucket"), "buckets")  # a node may be twice in one bucket only if bands collide; harmless
-    texts = docs.join(multi.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi").select(F.col("doc").alias("rep"), "text")
-    texts = keep(texts.dropDuplicates(["rep"]) if _repeats(sk) else texts, "texts")
-
-    links, labels, member = None, None, multi.withColumn("component", F.col("rep"))
-    for turn in range(star_rounds + 1):
-        if turn:
-            size = member.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-            top = size.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("t"), F.sum("n").alias("all")).filter("all > t.n")
-            top = top.select("bucket", F.col("t.component").alias("top"), ((F.col("all") - F.col("t.n")) * F.col("all")).alias("cost"))
-            member = keep(member.join(top, "bucket"), "open")  # buckets with members of more than one component
-            n, cost = member.count(), top.agg(F.sum("cost")).first()[0]
-            if not cost:
-                break
-            last = turn == star_rounds or cost <= 4 * n
-            if last:
-                left = member.filter("component <> top").select("bucket", F.col("rep").alias("x"), F.col("component").alias("cx"))
-                right = member.select("bucket", F.col("rep").alias("y"), F.col("component").alias("cy"))
-                found = left.join(right, "bucket").filter("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-            else:
-                pick = member.groupBy("bucket").agg(F.min_by(F.struct(F.col("rep").alias("x"), F.col("component").alias("cx")), F.xxhash64("rep", F.lit(turn), F.col("bucket"))).alias("c"))
-                found = member.join(pick, "bucket").filter("component <> c.cx").select(F.least("rep", "c.x").alias("a"), F.greatest("rep", "c.x").alias("b"))
-        else:
-            centre = member.groupBy("bucket").agg(F.min("rep").alias("c"))
-            found, last = member.join(centre, "bucket").filter("rep <> c").select(F.col("c").alias("a"), F.col("rep").alias("b")), False
-        likely = keep(_estimated(found.distinct(), nodes.filter("rep is not null"), least), "likely")
-        new = keep(_verified(likely, texts, width, percent), "links")
-        drop(likely)
-        links = new if links is None else keep(links.union(new), "links")
-        labels = connected_components(links)
-        if last:
-            break
-        member = multi.join(labels.withColumnRenamed("vertex", "rep"), "rep", "left").select("rep", "bucket", F.coalesce("component", "rep").alias("component"))
+    shared = rows.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("bucket", "lo")
+    ties = rows.join(shared, (rows["bucket"] == shared["bucket"]) & (F.col("rep") != F.col("lo"))).select(F.col("lo").alias("a"), F.col("rep").alias("b"))
+    family = connected_components(ties).select(F.col("vertex").alias("rep"), F.col("component").alias("family"))
+    family = keep(family.join(nodes.select("rep", "n_shingles"), "rep"), "families")
+    size = family.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / block_rows), F.ceil(F.sum("n_shingles") / block_shingles)).cast("int").alias("blocks"))
+    member = family.join(size, "family").select("rep", "family", "blocks", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"))
+    # a merge join at every size: the members grow with the corpus
+    full = docs.hint("merge").join(member.withColumnRenamed("rep", "doc"), "doc").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    full = full.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", F.col("doc").alias("rep"), "text")
+    labels = connected_components(keep(links_of(full, width, least), "links"))
     names = nodes.select("set_hash", "rep").join(labels.withColumnRenamed("vertex", "rep"), "rep", "left").select("set_hash", F.coalesce("component", "rep").alias("component"))
     out = sk.select("doc", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_hash")).alias("set_hash")).join(names, "set_hash", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc"))
     return out.select(F.col("doc").alias(key), "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc") == own, F.lit(False)).alias("kept"))
-
-
-def _repeats(sk: DataFrame) -> bool:
-    """Whether a key stands in more than one row."""
-    return bool(sk.filter("doc is not null").groupBy("doc").count().filter("count > 1").limit(1).count())

@@ -35,31 +35,66 @@ def open_fs(path: str) -> tuple[fs.FileSystem, str]:
 class ChunkEncoder:
     """Ids of a text as bytes, by way of a bounded dictionary of its white-space-delimited chunks.
 
-    Exact for models that drop white space and never let a token cross it; each new chunk is
-    encoded by the library once.
+    Exact for models that drop white space and never let a token cross it. New chunks go to the library many at a time, as one
+    text with a separator word between them; the separator's byte stands in no chunk that is encoded this way.
+    The dictionary has two generations of `most` chunks each: what the older one holds is taken over when met again.
     """
 
-    def __init__(self, path: str, dtype: str, most: int = 400_000):
+    SEPARATOR = b"\x01"
+
+    def __init__(self, path: str, dtype: str, most: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.model, self.dtype, self.most, self.known = Tokenizer.from_file(path), dtype, most, {}
+        self.model, self.dtype, self.most, self.known, self.older = Tokenizer.from_file(path), dtype, most, {}, {}
         self.model.no_truncation()
         self.model.no_padding()
+        between = self.library(self.SEPARATOR)
+        self.between = int(between[0]) if len(between) == 1 else None
+
+    def library(self, text: bytes) -> np.ndarray:
+        return np.array(self.model.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)[0].ids, self.dtype)
+
+    def _learn(self, new: list[bytes]) -> None:
+        known = self.known
+        plain = [w for w in new if self.SEPARATOR not in w] if self.between is not None else []
+        for i in range(0, len(plain), 4096):
+            part = plain[i : i + 4096]
+            ids = self.library((b" " + self.SEPARATOR + b" ").join(part))
+            ends = np.flatnonzero(ids == self.between).tolist()
+            size, raw, start = ids.itemsize, ids.tobytes(), 0
+            for w, end in zip(part, [*ends, len(ids)], strict=True):
+                known[w] = raw[start * size : end * size]
+                start = end + 1
+        for w in new if self.between is None else set(new).difference(plain):
+            known[w] = self.library(w).tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        new = [w for w in set().union(*split) if w not in known]
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for w, e in zip(part, self.model.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)):
-                known[w] = np.array(e.ids, self.dtype).tobytes()
+        if len(self.known) > self.most:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = []
+        for w in set().union(*split).difference(known):
+            ids = older.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                known[w] = ids
+        self._learn(new)
         return [b"".join([known[w] for w in words]) for words in split]
 
 
+_encoders: dict[tuple, ChunkEncoder] = {}
+
+
+def encoder_for(path: str, dtype: str, whole: bool) -> ChunkEncoder:
+    """One encoder for all tasks of a worker."""
+    if (path, dtype, whole) not in _encoders:
+        _encoders[path, dtype, whole] = (TextEncoder if whole else ChunkEncoder)(path, dtype)
+    return _encoders[path, dtype, whole]
+
+
 class TextEncoder(ChunkEncoder):
     """Whole texts to the library, for models that keep white space."""
 
@@ -157,14 +192,14 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
 
     vocabulary = max(Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True), end_id + 1)
     dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
-    encoder_kind = ChunkEncoder if drops_white_space(tokenizer) else TextEncoder
+    whole = not drops_white_space(tokenizer)
     kind = docs.schema[key].dataType.simpleString()
     run_id = uuid.uuid4().hex[:8]
     where, name = open_fs(folder)
     where.create_dir(name, recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, writer, task = encoder_kind(tokenizer, dtype), None, TaskContext.get()
+        encoder, writer, task = encoder_for(tokenizer, dtype, whole), None, TaskContext.get()
         end = np.array([end_id], dtype).tobytes()
         part = task.partitionId()
         path = f"{folder}/part-{part:06d}-{run_id}-{task.taskAttemptId()}.arrow"

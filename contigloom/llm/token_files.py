@@ -42,7 +42,7 @@ class ChunkEncoder:
 
     SEPARATOR = b"\x01"
 
-    def __init__(self, path: str, dtype: str, most: int = 250_000):
+    def __init__(self, path: str, dtype: str, most: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

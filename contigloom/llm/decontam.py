@@ -198,13 +198,44 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
         return body.mapInArrow(run, schema)
 
-    out, block, size = None, [], 0
+    out = None
+    for block in blocks_of(benchmark, item, item_text, block_bytes):
+        out = passed(block) if out is None else out.unionByName(passed(block))
+    return out
+
+
+def blocks_of(benchmark: DataFrame, item: str, item_text: str, block_bytes: int) -> Iterator[list[tuple]]:
+    """(id, text) of the items in blocks of about block_bytes of text; one empty block for an empty table."""
+    block, size, some = [], 0, False
     for r in benchmark.select(item, item_text).filter(F.col(item_text).isNotNull()).toLocalIterator():
         block.append((r[0], r[1].encode()))
         size += len(block[-1][1])
         if size >= block_bytes:
-            out = passed(block) if out is None else out.unionByName(passed(block))
-            block, size = [], 0
-    if block or out is None:
-        out = passed(block) if out is None else out.unionByName(passed(block))
-    return out
+            yield block
+            block, size, some = [], 0, True
+    if block or not some:
+        yield block
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", block_bytes: int = 4 << 20) -> DataFrame:
+    """docs without the rows that meet an item; one Arrow pass over all columns for each block of items."""
+    spark = docs.sparkSession
+    ship(spark)
+    at_text = docs.columns.index(text)
+
+    def passed(rows: DataFrame, block: list) -> DataFrame:
+        held = spark.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = Index([r[0] for r in held.value], [r[1] for r in held.value])
+            for batch in batches:
+                for at in range(0, batch.num_rows, 256):
+                    b = batch.slice(at, 256)
+                    met = {m[0] for m in index.matches([t or b"" for t in b.column(at_text).cast(pa.binary()).to_pylist()])}
+                    yield b.filter(pa.array([i not in met for i in range(b.num_rows)], pa.bool_()))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    for block in blocks_of(benchmark, item, item_text, block_bytes):
+        docs = passed(docs, block)
+    return docs

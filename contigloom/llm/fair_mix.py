@@ -86,3 +86,21 @@ def mixed_sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     goal = goal.select(F.col("source").alias("_source"), "source_size", "target")
     out = rows.join(F.broadcast(goal) if goal.count() <= 10_000 else goal, F.col("source").eqNullSafe(F.col("_source"))).join(took, "row", "left")
     return out.select(F.col("key").alias(key), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", length: str = "n_chars") -> DataFrame:
+    """The documents of the mix, a row per copy, with the columns of docs; keys are unique.
+
+    The copy that a source's target ends in holds as many words as are left of it, single-spaced. The join by key shuffles the texts
+    once, at every size: a mix names most documents.
+    """
+    rows = sized(docs, key, text, source)
+    sequence = keep(mix(rows)[1].select("row", "taken"), "mix")
+    copies = sequence.join(rows.select("row", "key", "size"), "row").select(F.col("key").alias("_mix_key"), F.col("size").alias("_mix_size"), F.col("taken").alias("_mix_taken"))
+    out = docs.join(copies.hint("merge"), F.col(key) == F.col("_mix_key"))
+    words = F.array_remove(F.split(F.col(text), SPACES), "")
+    cut = F.when(F.col("_mix_taken") < F.col("_mix_size"), F.array_join(F.slice(words, F.lit(1), F.col("_mix_taken").cast("int")), " ")).otherwise(F.col(text))
+    out = out.withColumn(text, cut)
+    if length in docs.columns:
+        out = out.withColumn(length, F.length(text).cast(docs.schema[length].dataType))
+    return out.select(docs.columns)

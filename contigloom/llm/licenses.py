@@ -47,37 +47,34 @@ def template_rows() -> list[tuple]:
     return rows
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(rows, spans): a row id, key and n_words of every row, and the verified spans as
-    (row id, label, base, first_word, last_word, share).
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """row, key, n_words, label, base, first_word, last_word, share: every verified span, and for every row one more line with a null label.
 
     The template table is a constant of a few hundred rows and is broadcast; texts are read once and only votes are shuffled,
     pre-aggregated by diagonal. A null or empty text has no words and no spans; repeated rows and null keys are told
-    apart by row id; other columns are left out.
+    apart by row number; other columns are left out.
     """
-    spark = docs.sparkSession
-    table = spark.sql(f"SELECT *, xxhash64(t0, t1) AS h FROM VALUES (-1, '', false, 1, 0, '', ''), {_values()} AS x(t, label, base, pairs, place, t0, t1)")
+    table = docs.sparkSession.sql(f"SELECT *, xxhash64(t0, t1) AS h FROM VALUES (-1, '', false, 1, 0, '', ''), {_values()} AS x(t, label, base, pairs, place, t0, t1)")
     table = F.broadcast(table)
     body = F.coalesce(F.col(text), F.lit(""))
     plain = F.when(F.octet_length(body) == F.length(body), F.lower(body)).otherwise(F.translate(body, UPPER, LOWER))
     # two empty words in front are the one pair that every text has; it carries the text's own row through the join
     words = F.concat(F.array(F.lit(""), F.lit("")), F.array_remove(F.split(plain, GAP), ""))
-    pairs = docs.select(F.col(key).alias("key"), F.monotonically_increasing_id().alias("rid"), words.alias("words")).select("key", "rid", "words", F.posexplode("words").alias("at", "w0"))
-    pairs = pairs.select("key", "rid", (F.size("words") - 2).alias("n_words"), "at", "w0", F.get("words", F.col("at") + 1).alias("w1"))
+    pairs = docs.select(F.col(key).alias("key"), F.monotonically_increasing_id().alias("row"), words.alias("words")).select("key", "row", "words", F.posexplode("words").alias("at", "w0"))
+    pairs = pairs.select("key", "row", (F.size("words") - 2).alias("n_words"), "at", "w0", F.get("words", F.col("at") + 1).alias("w1"))
     hits = pairs.withColumn("h", F.xxhash64("w0", "w1")).join(table, "h")
     hits = hits.filter(F.contains("w0", "t0") & F.contains("t0", "w0") & F.contains("w1", "t1") & F.contains("t1", "w1"))
-    votes = hits.groupBy("rid", "t", (F.col("at") - F.col("place")).alias("diagonal")).agg(
-        F.max("key").alias("key"), F.max("n_words").alias("n_words"), F.max("label").alias("label"), F.max("base").alias("base"), F.max("pairs").alias("pairs"), F.count("*").alias("votes"),
-        F.bit_or(F.expr("shiftleft(1L, place)")).alias("places"), (F.min("at") - 2).alias("lo"), (F.max("at") - 1).alias("hi"))
-    votes = votes.withColumn("whole", F.col("pairs") < EXACT_WORDS)
-    strong = votes.filter((F.col("t") >= 0) & F.when(F.col("whole"), F.col("votes") == F.col("pairs")).otherwise(F.col("votes") >= VOTES))
-    line = Window.partitionBy("rid", "t").orderBy("diagonal")
-    apart = F.coalesce((F.col("whole") | (F.col("diagonal") - F.lag("diagonal").over(line) > REACH)).cast("int"), F.lit(1))
+    same = [F.max(c).alias(c) for c in ("key", "n_words", "label", "base", "pairs")]
+    votes = hits.groupBy("row", "t", (F.col("at") - F.col("place")).alias("diagonal")).agg(*same, F.count("*").alias("votes"), F.bit_or(F.expr("shiftleft(1L, place)")).alias("places"), (F.min("at") - 2).alias("lo"), (F.max("at") - 1).alias("hi"))
+    own, whole = F.col("t") < 0, F.col("pairs") < EXACT_WORDS
+    strong = votes.filter(own | F.when(whole, F.col("votes") == F.col("pairs")).otherwise(F.col("votes") >= VOTES))
+    line = Window.partitionBy("row", "t").orderBy("diagonal")
+    apart = F.coalesce((whole | (F.col("diagonal") - F.lag("diagonal").over(line) > REACH)).cast("int"), F.lit(1))
     merged = strong.withColumn("new", apart).withColumn("island", F.sum("new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = merged.groupBy("rid", "t", "island").agg(F.max("label").alias("label"), F.max("base").alias("base"), F.max("pairs").alias("pairs"), F.bit_or("places").alias("places"), F.min("lo").alias("first_word"), F.max("hi").alias("last_word"))
+    spans = merged.groupBy("row", "t", "island").agg(*same, F.bit_or("places").alias("places"), F.min("lo").alias("first_word"), F.max("hi").alias("last_word"))
     spans = spans.withColumn("share", F.bit_count("places") / F.col("pairs"))
-    spans = spans.filter((F.col("share") >= SHARE) & (F.col("last_word") - F.col("first_word") < 2 * (F.col("pairs") + 1)))
-    return votes.filter("t = -1").select("rid", "key", "n_words"), spans.select("rid", "label", "base", "first_word", "last_word", "share")
+    spans = spans.filter(own | ((F.col("share") >= SHARE) & (F.col("last_word") - F.col("first_word") < 2 * (F.col("pairs") + 1))))
+    return spans.select("row", "key", "n_words", F.when(~own, F.col("label")).alias("label"), "base", *(F.when(~own, F.col(c)).alias(c) for c in ("first_word", "last_word", "share")))
 
 
 def license_labels(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -86,13 +83,12 @@ def license_labels(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     n_base: places of the base phrases; first_word and last_word: smallest and largest start of one (null without); labels
     are distinct, sorted, comma-joined ('' without); score: the largest verified share, 0 without a span.
     """
-    rows, spans = scan(docs, key, text)
     of = lambda c: F.array_join(F.sort_array(F.collect_set(c)), ",")  # noqa: E731  a handful of labels per row
-    found = spans.groupBy("rid").agg(
-        F.count_if("base").alias("n_base"), F.min(F.when(F.col("base"), F.col("first_word"))).alias("first_word"), F.max(F.when(F.col("base"), F.col("first_word"))).alias("last_word"),
-        of(F.when(F.col("base"), F.col("label"))).alias("base_labels"), of(F.col("label")).alias("labels"), F.max("share").alias("score"))
-    out = rows.join(found, "rid", "left")
-    return out.select(F.col("key").alias(key), F.col("n_words").cast("long"), F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), F.col("first_word").cast("long"), F.col("last_word").cast("long"), F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"), F.coalesce("score", F.lit(0.0)).alias("score"))
+    start = F.when(F.col("base"), F.col("first_word")).cast("long")
+    out = scan(docs, key, text).groupBy("row").agg(
+        F.max("key").alias(key), F.max("n_words").cast("long").alias("n_words"), F.count_if("base").alias("n_base"), F.min(start).alias("first_word"), F.max(start).alias("last_word"),
+        of(F.when(F.col("base"), F.col("label"))).alias("base_labels"), of(F.col("label")).alias("labels"), F.coalesce(F.max("share"), F.lit(0.0)).alias("score"))
+    return out.drop("row")
 
 
 def _values() -> str:

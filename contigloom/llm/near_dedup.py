@@ -213,7 +213,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     every pair of blocks is solved by itself, so no link between different sets that share a bucket is lost, no task holds more than two blocks, and
     no pairs are written but links that connect. A pair at the limit shares no band with a probability below one in a million.
     Null or word-less texts: 0 shingles, linked with nothing. Null keys: never a component's name; a group of only null keys
-    has component null and is not kept. Rows that share a key are one document. Extra columns are left out.
+    has component null and is not kept. Rows that share a key each have the component of their own text's set; sets named by one key are one node.
+    Extra columns are left out.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -237,3 +238,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     out = sk.select("doc", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_hash")).alias("set_hash")).join(names, "set_hash", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc"))
     return out.select(F.col("doc").alias(key), "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc") == own, F.lit(False)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", broadcast_bytes: int = 32 << 20) -> DataFrame:
+    """docs with one document of each near-duplicate group, the one that names it.
+
+    The keys to leave out are broadcast only if they are few, else anti-joined by a shuffle. Of rows that share a key, one stays if any is kept;
+    rows without a key are left out.
+    """
+    found = near_duplicates(docs, key, text).filter(F.col(key).isNotNull())
+    found = keep(found.groupBy(key).agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "kept")
+    n = found.agg(F.count_if(~F.col("kept")).alias("drop"), F.count_if(F.col("kept") & (F.col("n") > 1)).alias("repeated")).first()
+    gone = found.filter(~F.col("kept")).select(key)
+    out = docs.filter(F.col(key).isNotNull()).join(F.broadcast(gone) if n["drop"] * 40 <= broadcast_bytes else gone.hint("merge"), key, "left_anti")
+    return (out.dropDuplicates([key]) if n["repeated"] else out).select(docs.columns)

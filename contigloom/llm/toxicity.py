@@ -243,3 +243,24 @@ def threshold_column(model: Model, lang):
     for name, t in sorted(model.thresholds.items()):
         out = F.when(lang == name, F.lit(t)).otherwise(out)
     return out
+
+
+def reject(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
+    """docs without the rows whose score reaches the threshold of their language (0.5 for languages without one); one Arrow pass over all columns."""
+    spark = docs.sparkSession
+    ship(spark)
+    held = spark.sparkContext.broadcast(model)  # of a fixed size
+    at_text, at_lang = docs.columns.index(text), docs.columns.index(lang) if lang in docs.columns else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = held.value
+        scorer = model.__dict__.setdefault("scorer", None) or Scorer(model)
+        model.scorer = scorer
+        for batch in batches:
+            for at in range(0, batch.num_rows, 128):
+                b = batch.slice(at, 128)
+                scores = scorer([t or b"" for t in b.column(at_text).cast(pa.binary()).to_pylist()])
+                langs = b.column(at_lang).to_pylist() if at_lang is not None else [None] * b.num_rows
+                yield b.filter(pa.array([s < model.thresholds.get(g, 0.5) for s, g in zip(scores.tolist(), langs)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

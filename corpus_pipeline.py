@@ -1,17 +1,52 @@
-"""Corpus pipeline (stages are added as their operators arrive)."""
+"""Corpus pipeline: reject toxic documents, keep one of each near-duplicate group, drop benchmark leaks, mix sources, write token ids."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from contigloom.llm import decontam, fair_mix, near_dedup, token_files, toxicity
+from contigloom.runtime import keep, scratch
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.reject(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.one_of_each(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return fair_mix.mixed_documents(docs)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.read_digests(token_files.write_token_files(docs, scratch(spark, "tokens"), tokenizer))
+
+
+#: Each stage is written as Parquet and read again as the next one's docs.
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_leaks),
+    ("mixing", mix_sources),
+    ("token_files", write_tokens),
+]
+
+#: A trained classifier and a tokenizer decide; SQL cannot express them.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents, each written and read again in the shared folder."""
-    from contigloom.runtime import keep
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = keep(stage(spark, docs, sf_dir), name)

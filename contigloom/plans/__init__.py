@@ -1 +1 @@
-
+"""Queries over the driver tables and the assembly workflow."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from contigloom.plans import flat, solved
+
+QUERIES: dict = {**flat.QUERIES, **solved.QUERIES}
+ORACLES: dict = {**flat.ORACLES, **solved.ORACLES}
 FLAGSHIP = "final_cluster_table"

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs, ipc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -179,6 +180,18 @@ class TokenFile:
         return parts[0] if len(parts) == 1 else np.concatenate(parts or [np.zeros(0, self.flat[0].dtype if self.flat else np.uint16)])
 
 
+def slices(batch: pa.RecordBatch, column: int, rows: int, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of at most so many rows and, but for single rows, about so many bytes in a text column."""
+    sizes, start, held = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and (i - start >= rows or held + n > most_bytes):
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, key: str = "doc_id", text: str = "text", seq_len: int = 2048, batch_seqs: int = 128) -> DataFrame:
     """Encode the whole texts in ascending key order into files in folder; the manifest, one row per document.
 
@@ -206,8 +219,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         for b in batches:
             if writer is None and b.num_rows:
                 writer = SequenceWriter(path, np.dtype(dtype), seq_len, batch_seqs)
-            for i in range(0, b.num_rows, 256):
-                s = b.slice(i, 256)
+            for s in slices(b, 1, 1024, 4 << 20):
                 ids = [x + end for x in encoder.encode(s.column(1).cast(pa.binary()).to_pylist())]
                 first = [writer.add(x) for x in ids]
                 n = len(ids)

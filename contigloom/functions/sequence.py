@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -111,3 +113,35 @@ def longest_common_substring_length(a: Column, b: Column, most: int = 200) -> Co
     pieces = F.transform(F.sequence(F.lit(1), F.greatest(F.length(a), F.lit(1))), lambda i: F.aggregate(
         F.sequence(F.lit(1), F.greatest(F.length(a) - i + 1, F.lit(1))), F.lit(0), lambda best, n: F.when((F.length(a) > 0) & F.contains(b, F.substring(a, i, n)), F.greatest(best, n)).otherwise(best)))
     return F.when(F.length(a) <= most, F.array_max(pieces))
+
+
+def common_subsequence(a: str, b: str) -> str:
+    """A longest common subsequence of two strings; of several, the one whose letters come last in a."""
+    rows = [[0] * (len(b) + 1)]
+    for x in a:
+        up, row = rows[-1], [0]
+        for j, y in enumerate(b):
+            row.append(up[j] + 1 if x == y else max(up[j + 1], row[j]))
+        rows.append(row)
+    out, i, j = [], len(a), len(b)
+    while i and j:
+        if a[i - 1] == b[j - 1]:
+            out.append(a[i - 1])
+            i, j = i - 1, j - 1
+        elif rows[i][j - 1] >= rows[i - 1][j]:
+            j -= 1
+        else:
+            i -= 1
+    return "".join(reversed(out))
+
+
+def common_subsequences(df, by: str, text: str):
+    """by and subsequence: the fold of common_subsequence over each group's strings in order; for small groups of short strings."""
+    from contigloom.runtime import ship
+
+    ship(df.sparkSession)
+
+    def run(pdf):
+        return pdf.iloc[:1][[by]].assign(subsequence=functools.reduce(common_subsequence, sorted(pdf[text])))
+
+    return df.filter(F.col(text).isNotNull()).select(by, text).groupBy(by).applyInPandas(run, f"`{by}` {dict(df.dtypes)[by]}, subsequence string")

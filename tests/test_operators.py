@@ -294,3 +294,9 @@ def test_gap_sequences_and_trimming(spark):
     c = spark.createDataFrame([("s", "AAAAAAAAAA")], "scaffold string, seq string")
     t = spark.createDataFrame([("s", 2, 4, "CCC"), ("s", 4, 6, "GGG")], "scaffold string, start int, end int, tile string")
     assert intervals.splice_tiles(c, t).first()["seq"] == "AACCCGGAAA"
+
+
+def test_common_subsequences(spark):
+    assert sq.common_subsequence("xaybzc", "abqc") == "abc" and sq.common_subsequence("abc", "") == ""
+    df = spark.createDataFrame([("g", "abcde"), ("g", "aXce"), ("g", "zace"), ("h", "q")], "g string, t string")
+    assert rows(sq.common_subsequences(df, "g", "t")) == [("g", "ace"), ("h", "q")]

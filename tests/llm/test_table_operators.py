@@ -185,3 +185,26 @@ def test_pipeline(spark):
             assert d.columns == docs.columns
     assert docs.count() > counts[0] >= counts[1] >= counts[2] > 0 and counts[3] == counts[4]
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf).collect())) == sorted(map(tuple, d.collect()))
+
+
+def test_stages_take_awkward_tables(spark, tmp_path):
+    """Nulls everywhere, empty and long texts, repeated rows, an empty table, and columns named like the stages' own."""
+    import corpus_pipeline
+
+    names = ["score", "kept", "row", "taken", "size", "component_id", "_label", "_text", "key", "start", "part"]
+    base = [(1, "plain words of a first text that is long enough to count here", "en", "a", 3), (1, "plain words of a first text that is long enough to count here", "en", "a", 3), (2, None, None, None, None), (3, "", "fr", None, 0), (None, "text without an id " * 3, "en", "b", 1), (4, "word " * 50_000, "xx", "a", 5), (5, "ünï çödé\x00 text <|endoftext|> " * 5, None, "b", None)]
+    docs = spark.createDataFrame([(*r, *[None if i % 2 else "x"] * len(names)) for i, r in enumerate(base)], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names))
+    spark.createDataFrame([(1, 0, 0), (4, None, 1), (None, 1, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, None), (2, "")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for start in (docs, docs.limit(0)):
+        d = start
+        for name, stage in corpus_pipeline.STAGES:
+            d = stage(spark, d, str(tmp_path))
+            path = str(tmp_path / f"{name}-{start is docs}")
+            d.write.parquet(path)
+            d = spark.read.parquet(path)
+            if name != "token_files":
+                assert d.columns == docs.columns
+            if name == "near_dedup" and start is docs:
+                assert sorted(r["doc_id"] for r in d.collect()) == [1, 2, 3, 4, 5]
+        assert d.columns[:4] == ["doc_id", "start", "n_tokens", "ids_crc32"]

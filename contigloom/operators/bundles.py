@@ -1,12 +1,12 @@
-"""Greedy bundling of edge distances. Each group is one contig pair's edges, read by one Arrow task; ties have a total order."""
+"""Greedy bundling of edge distances. Each group is one contig pair's edges; ties have a total order."""
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from contigloom.operators.grouped import map_groups
 from contigloom.runtime import ship
 
 ENDS = ["c1", "o1", "c2", "o2"]
@@ -24,27 +24,20 @@ def bundle_pairs(pairs: DataFrame, n_sd: int = 6, by: list[str] | None = None) -
     pairs: the keys, dist, std. Result: the keys, bundle (from 1, in the order they are formed), dist, std, size.
     """
     by = by or ENDS
-    ship(pairs.sparkSession)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        order = np.lexsort((pdf["std"], pdf["dist"]))
-        d, s = pdf["dist"].to_numpy(float)[order], pdf["std"].to_numpy(float)[order]
-        out = []
+    def run(keys: tuple, rows: dict) -> list[tuple]:
+        d, s, out = rows["dist"].astype(float), rows["std"].astype(float), []
         while len(d):
             mid = len(d) // 2
             reach = n_sd * s[mid]
             inside = (d >= d[mid] - reach) & (d <= d[mid] + reach)
             w = 1 / s[inside] ** 2
-            out.append((int(np.floor((d[inside] * w).sum() / w.sum() + 0.5)), max(1, int(1 / np.sqrt(w.sum()) + 0.5)), int(inside.sum())))
+            out.append((*keys, len(out) + 1, int(np.floor((d[inside] * w).sum() / w.sum() + 0.5)), max(1, int(1 / np.sqrt(w.sum()) + 0.5)), int(inside.sum())))
             d, s = d[~inside], s[~inside]
-        res = pd.DataFrame(out, columns=["dist", "std", "size"])
-        res.insert(0, "bundle", range(1, len(out) + 1))
-        for i, c in enumerate(by):
-            res.insert(i, c, pdf[c].iloc[0])
-        return res
+        return out
 
     rows = pairs.filter(F.col("dist").isNotNull() & (F.col("std") > 0)).select(*by, "dist", "std")
-    return rows.groupBy(*by).applyInPandas(run, f"{_keys(pairs, by)}, bundle int, dist long, std long, size long")
+    return map_groups(rows, by, ["dist", "std"], run, f"{_keys(pairs, by)}, bundle int, dist long, std long, size long")
 
 
 def bundle_long(pairs: DataFrame, n_sd: int = 6, by: list[str] | None = None, orientation: str = "ori") -> DataFrame:
@@ -54,11 +47,10 @@ def bundle_long(pairs: DataFrame, n_sd: int = 6, by: list[str] | None = None, or
     Result: the keys, orientation, dist (mean, truncated), std (int(0.1 * |mean| + 50)), support.
     """
     by = by or ["c1", "c2"]
-    ship(pairs.sparkSession)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(keys: tuple, rows: dict) -> list[tuple]:
         bundles: dict[str, list[list[float]]] = {}
-        for d, o in sorted(zip(pdf["dist"].astype(float), pdf[orientation]), key=lambda x: (-x[0], x[1])):
+        for d, o in sorted(zip(rows["dist"].astype(float).tolist(), rows[orientation].tolist()), key=lambda x: (-x[0], x[1])):
             for b in bundles.setdefault(o, []):
                 if abs(d - b[0]) <= n_sd * (abs(b[0]) * 0.1 + 50):
                     b[1] += d
@@ -68,10 +60,10 @@ def bundle_long(pairs: DataFrame, n_sd: int = 6, by: list[str] | None = None, or
                 bundles[o].append([d, d, 1])
         n, o, i = max(((b[2], o, i) for o, bs in bundles.items() for i, b in enumerate(bs)), key=lambda x: (x[0], [-ord(ch) for ch in x[1]], -x[2]))
         mean = bundles[o][i][1] / n
-        return pd.DataFrame([[*(pdf[c].iloc[0] for c in by), o, int(mean), int(abs(mean) * 0.1 + 50), int(n)]], columns=[*by, orientation, "dist", "std", "support"])
+        return [(*keys, o, int(mean), int(abs(mean) * 0.1 + 50), int(n))]
 
-    rows = pairs.filter(F.col("dist").isNotNull()).select(*by, orientation, "dist")
-    return rows.groupBy(*by).applyInPandas(run, f"{_keys(pairs, by)}, `{orientation}` string, dist long, std long, support long")
+    rows = pairs.filter(F.col("dist").isNotNull() & F.col(orientation).isNotNull()).select(*by, orientation, "dist")
+    return map_groups(rows, by, ["dist"], run, f"{_keys(pairs, by)}, `{orientation}` string, dist long, std long, support long")
 
 
 def library_strata(libs: DataFrame, mean: str = "mean", t1: int = 1000, t2: int = 10_000) -> DataFrame:
@@ -87,12 +79,10 @@ def super_bundles(edges: DataFrame, n_sd: int = 6, min_size: int = 5, ploidy: in
     edges: the keys, dist, std, size [, repeat]. Result: the keys, dist, std, size, members. Size-weighted inverse-variance means.
     """
     by = by or ENDS
-    ship(edges.sparkSession)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        order = np.lexsort((pdf["size"], pdf["dist"], pdf["std"]))
-        d, s, n = (pdf[c].to_numpy(float)[order] for c in ("dist", "std", "size"))
-        free = bool(pdf[repeat].iloc[0]) if repeat else False
+    def run(keys: tuple, rows: dict) -> list[tuple]:
+        d, s, n = (rows[c].astype(float) for c in ("dist", "std", "size"))
+        free = bool(rows[repeat][0]) if repeat else False
         total, out = n.sum(), []
         while len(d):
             reach = n_sd * s[-1]
@@ -101,15 +91,12 @@ def super_bundles(edges: DataFrame, n_sd: int = 6, min_size: int = 5, ploidy: in
             size = n[inside].sum()
             if size >= min_size and (free or (size > total / 2 and (ploidy == 1 or size == total))):
                 w = 1 / s[inside] ** 2  # the size cancels from weight and variance
-                out.append((int((d[inside] * w).sum() / w.sum() + 0.5), max(1, int(1 / np.sqrt(w.sum()) + 0.5)), int(size), int(inside.sum())))
+                out.append((*keys, int((d[inside] * w).sum() / w.sum() + 0.5), max(1, int(1 / np.sqrt(w.sum()) + 0.5)), int(size), int(inside.sum())))
             d, s, n = d[~inside], s[~inside], n[~inside]
-        res = pd.DataFrame(out, columns=["dist", "std", "size", "members"])
-        for i, c in enumerate(by):
-            res.insert(i, c, pdf[c].iloc[0])
-        return res
+        return out
 
     rows = edges.select(*by, "dist", "std", "size", *([repeat] if repeat else []))
-    return rows.groupBy(*by).applyInPandas(run, f"{_keys(edges, by)}, dist long, std long, size long, members long")
+    return map_groups(rows, by, ["std", "dist", "size"], run, f"{_keys(edges, by)}, dist long, std long, size long, members long")
 
 
 def gap_table(lib_mean: float, lib_std: float, contig: int, read: int, longest: int, normal: bool = True) -> np.ndarray:

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from contigloom.operators.grouped import map_groups, numbered
 from contigloom.runtime import ship
 
 
@@ -182,27 +183,26 @@ def order_scaffolds(edges: DataFrame, contigs: DataFrame, subgraph: str = "subgr
 def gap_sizes(scaffolds: DataFrame, edges: DataFrame, scaffold: str = "scaffold", k: int = 60, n_sd: int = 6) -> DataFrame:
     """scaffold, pos and gap (to the next child) of given scaffolds (scaffold, pos, contig, length), from the edges (c1, c2, dist, std) between their members.
 
-    Only scaffolds with such an edge are solved, one to a group; the gaps of the others are 0.
+    Only scaffolds with such an edge are solved; the gaps of the others are 0.
     """
-    ship(scaffolds.sparkSession)
     kind = dict(scaffolds.dtypes)[scaffold]
     s1, s2 = (scaffolds.select(F.col("contig").alias(f"c{i}"), F.col(scaffold).alias("scaffold"), F.col("pos").alias(f"p{i}")) for i in (1, 2))
     inner = edges.join(s1, "c1").join(s2, ["c2", "scaffold"]).filter("p1 <> p2").select("scaffold", "p1", "p2", F.col("dist").cast("double").alias("dist"), F.col("std").cast("double").alias("std"))
 
-    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left = left.sort_values("pos").reset_index(drop=True)
-        at = {p: i for i, p in enumerate(left["pos"])}
-        es = [(*sorted((at[a], at[b])), d, s) for a, b, d, s in zip(right["p1"], right["p2"], right["dist"], right["std"])]
-        gaps = gap_qp(left["length"].astype(int).tolist(), sorted(es), k, n_sd)
-        return pd.DataFrame({"scaffold": key[0], "pos": left["pos"].iloc[:-1], "gap": gaps.round(3)})
+    def run(keys: tuple, rows: dict) -> list[tuple]:
+        child = np.isnan(rows["p2"].astype(float))
+        pos, lengths = rows["p1"][child].astype(int), rows["size"][child].astype(int).tolist()
+        at = {p: i for i, p in enumerate(pos.tolist())}
+        es = [(*sorted((at[int(a)], at[int(b)])), d, s) for a, b, d, s in zip(*(rows[c][~child].tolist() for c in ("p1", "p2", "dist", "std")))]
+        return [(*keys, p, g) for p, g in zip(pos.tolist(), gap_qp(lengths, sorted(es), k, n_sd).round(3).tolist())]
 
-    rows = scaffolds.select(F.col(scaffold).alias("scaffold"), F.col("pos").cast("int").alias("pos"), "length")
+    rows = scaffolds.select(F.col(scaffold).alias("scaffold"), F.col("pos").cast("int").alias("p1"), F.col("length").cast("long").alias("size"))
     bound = inner.select(F.col("scaffold").alias("_s")).distinct()
     rows, free = rows.join(bound, F.col("scaffold") == F.col("_s"), "left_semi"), rows.join(bound, F.col("scaffold") == F.col("_s"), "left_anti")
-    last = F.max("pos").over(Window.partitionBy("scaffold"))
-    zero = free.withColumn("_last", last).filter("pos < _last").select("scaffold", "pos", F.lit(0.0).alias("gap"))
-    solved = rows.groupBy("scaffold").cogroup(inner.groupBy("scaffold")).applyInPandas(run, f"scaffold {kind}, pos int, gap double")
-    return solved.unionByName(zero)
+    last = F.max("p1").over(Window.partitionBy("scaffold"))
+    zero = free.withColumn("_last", last).filter("p1 < _last").select("scaffold", F.col("p1").alias("pos"), F.lit(0.0).alias("gap"))
+    both = rows.unionByName(inner.select("scaffold", F.col("p1").cast("int").alias("p1"), F.col("p2").cast("int").alias("p2"), "dist", "std"), allowMissingColumns=True)
+    return map_groups(both, ["scaffold"], ["p1", "p2"], run, f"scaffold {kind}, pos int, gap double").unionByName(zero)
 
 
 def contract(edges: DataFrame, scaffolds: DataFrame) -> DataFrame:
@@ -268,4 +268,4 @@ def scaffold_sequences(scaffolds: DataFrame, seqs: DataFrame, min_gap: int = 10)
 def sorted_scaffolds(scaffolds: DataFrame, scaffold: str = "scaffold") -> DataFrame:
     """scaffold, number (1 for the longest), length and n: total of lengths and gaps; equal lengths go by name."""
     sums = scaffolds.groupBy(scaffold).agg(F.sum(F.col("length") + F.coalesce("gap", F.lit(0))).cast("long").alias("length"), F.count("*").alias("n"))
-    return sums.withColumn("number", F.row_number().over(Window.orderBy(F.col("length").desc(), scaffold)))
+    return numbered(sums, [F.col("length").desc(), scaffold]).withColumn("number", F.col("number").cast("int"))

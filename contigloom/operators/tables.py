@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from contigloom.operators.grouped import numbered
 from contigloom.operators.stats import nx_lx, top_within
 
 
@@ -152,9 +153,9 @@ def lineage_nodes(lineages: DataFrame, lineage: str = "lineage") -> DataFrame:
 def directories(df: DataFrame, order: list, per_dir: int = 4000) -> DataFrame:
     """df with directory: rows in order, per_dir to each.
 
-    A window over a catalog of files, one row for each; not for read-level tables.
+    Rows need a total order.
     """
-    return df.withColumn("directory", (F.floor((F.row_number().over(Window.orderBy(*order)) - 1) / per_dir) + 1).cast("long"))
+    return numbered(df, order, "_number").withColumn("directory", (F.floor((F.col("_number") - 1) / per_dir) + 1).cast("long")).drop("_number")
 
 
 def size_bounded_files(df: DataFrame, by: list[str], order: list, size: str, cap: int, most: int = 300_000) -> DataFrame:

@@ -6,10 +6,11 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contigloom.operators.graph import connected_components
+from contigloom.operators.grouped import numbered
 from contigloom.runtime import keep, ship
 
 
@@ -128,7 +129,7 @@ def cut_tree(edges: DataFrame, windows: DataFrame, win: int, r: float, penalty_n
     kind = dict(e.dtypes)["c1"]
     members = e.select(F.col("component"), F.explode(F.array("c1", "c2")).alias("contig")).distinct()
     w = windows.select("contig", "sample", "counts", "length")
-    data = w.join(members, "contig", "left").withColumn("component", F.coalesce("component", "contig"))
+    data = w.join(members, "contig").select("contig", "sample", "counts", "length", F.col("component").alias("_component"))
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         columns = ["contig", "component", "cluster"]
@@ -149,7 +150,9 @@ def cut_tree(edges: DataFrame, windows: DataFrame, win: int, r: float, penalty_n
         first = {k: names[label == k].min() for k in set(label.tolist())}
         return pd.DataFrame({"contig": names, "component": key[0], "cluster": [first[k] for k in label.tolist()]})
 
-    return e.groupBy("component").cogroup(data.groupBy("component")).applyInPandas(run, f"contig {kind}, component {kind}, cluster {kind}")
+    solved = e.groupBy("component").cogroup(data.groupBy("_component")).applyInPandas(run, f"contig {kind}, component {kind}, cluster {kind}")
+    lone = w.select("contig").distinct().join(members.select("contig"), "contig", "left_anti")
+    return solved.union(lone.select("contig", F.col("contig").alias("component"), F.col("contig").alias("cluster")))
 
 
 def search_r(edges: DataFrame, windows: DataFrame, win: int, r_lo: float, r_hi: float, penalty_n: float, steps: int = 10, max_len: int = 6_000_000, tol: float = 0.01) -> tuple[float, DataFrame]:
@@ -176,7 +179,8 @@ def super_clusters(edges: DataFrame, references: DataFrame, weight: str = "weigh
     ship(edges.sparkSession)
     e = with_component(edges.select("c1", "c2", F.col(weight).cast("double").alias("w")))
     kind = dict(e.dtypes)["c1"]
-    data = references.join(e.select("component", F.explode(F.array("c1", "c2")).alias("cluster")).distinct(), "cluster", "left").select(F.coalesce("component", "cluster").alias("component"), "cluster", "refs")
+    members = e.select("component", F.explode(F.array("c1", "c2")).alias("cluster")).distinct()
+    data = references.join(members, "cluster").select(F.col("component").alias("_component"), "cluster", "refs")
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         refs = {c: set(r if r is not None else ()) for c, r in zip(right["cluster"], right["refs"])}
@@ -195,7 +199,9 @@ def super_clusters(edges: DataFrame, references: DataFrame, weight: str = "weigh
                 top[b], refs[a] = a, both
         return pd.DataFrame([(c, root(c)) for c in sorted(refs)], columns=["cluster", "super_cluster"])
 
-    return e.groupBy("component").cogroup(data.groupBy("component")).applyInPandas(run, f"cluster {kind}, super_cluster {kind}")
+    solved = e.groupBy("component").cogroup(data.groupBy("_component")).applyInPandas(run, f"cluster {kind}, super_cluster {kind}")
+    lone = references.select("cluster").distinct().join(members.select("cluster"), "cluster", "left_anti")
+    return solved.union(lone.select("cluster", F.col("cluster").alias("super_cluster")))
 
 
 def single_linkage_cut(distances: DataFrame, threshold: float = 0.05, a: str = "a", b: str = "b", dist: str = "dist", inclusive: bool = False) -> DataFrame:
@@ -219,7 +225,7 @@ def relabel(members: DataFrame, supers: DataFrame, cluster: str = "cluster") ->
 
 def dense_ids(df: DataFrame, by: str, name: str = "number") -> DataFrame:
     """df with dense numbers of the distinct values of by, in their order (numbered over the distinct values, not over the rows)."""
-    numbers = df.select(by).distinct().withColumn(name, F.row_number().over(Window.orderBy(by)))
+    numbers = numbered(df.select(by).distinct(), [by], name)
     return df.join(numbers, by)
 
 

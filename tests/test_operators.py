@@ -300,3 +300,25 @@ def test_common_subsequences(spark):
     assert sq.common_subsequence("xaybzc", "abqc") == "abc" and sq.common_subsequence("abc", "") == ""
     df = spark.createDataFrame([("g", "abcde"), ("g", "aXce"), ("g", "zace"), ("h", "q")], "g string, t string")
     assert rows(sq.common_subsequences(df, "g", "t")) == [("g", "ace"), ("h", "q")]
+
+
+def test_groups_across_batches(spark):
+    from contigloom.operators.grouped import map_groups, numbered
+
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.range(300).select((F.col("id") % 11 + F.floor(F.col("id") / 250)).alias("k"), F.col("id").alias("v"))
+        got = map_groups(df, ["k"], ["v"], lambda k, c: [(int(k[0]), len(c["v"]), int(c["v"].sum()), bool((np.diff(c["v"]) > 0).all()))], "k long, n long, s long, sorted boolean")
+        want = df.groupBy("k").agg(F.count("*"), F.sum("v"), F.lit(True))
+        assert rows(got) == rows(want)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    n = numbered(spark.range(1000).select((F.col("id") * 7 % 1000).alias("x")), [F.col("x").desc()])
+    assert n.filter(F.col("number") != 1000 - F.col("x")).count() == 0 and n.count() == 1000
+
+
+def test_gap_sizes_of_scaffolds(spark):
+    s = spark.createDataFrame([("S", 1, "a", 100), ("S", 2, "b", 100), ("S", 3, "c", 100), ("T", 1, "d", 50), ("T", 2, "e", 50), ("U", 1, "f", 9)], "scaffold string, pos int, contig string, length int")
+    e = spark.createDataFrame([("a", "b", 30, 5), ("c", "b", 50, 5), ("a", "d", 5, 5)], "c1 string, c2 string, dist int, std int")
+    assert [(a, b, round(c, 2)) for a, b, c in rows(scaffold.gap_sizes(s, e))] == [("S", 1, 30.0), ("S", 2, 50.0), ("T", 1, 0.0)]

@@ -17,7 +17,7 @@ from contigloom.runtime import keep
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: Rows that one (source, bucket) window holds at most on average.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -58,7 +58,7 @@ def mix(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3) ->
     rows is spread over many tasks. Documents of size 0 are never taken; ties of the order go by key and row; a document
     is taken most times at most; the copy that a source's target ends in is taken in part.
     """
-    bits = max(4, math.ceil(math.log2(max(1, rows.count()) / BUCKET_ROWS + 1)))
+    bits = max(6, math.ceil(math.log2(max(1, rows.count()) / BUCKET_ROWS + 1)))
     name = F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source"))
     r = rows.filter("size > 0").withColumn("name", name).withColumn("bucket", F.shiftright("order", 64 - bits))
     sums = keep(r.groupBy("name", "source", "bucket").agg(F.sum("size").alias("n")), "bucket_sums")

@@ -45,9 +45,23 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def _own(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/contigloom/{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/contigloom/{name}-{uuid.uuid4().hex}"
+    return f"{_own(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all that this application wrote to the shared folder; call it when no result is read any more."""
+    _delete(spark, _own(spark))
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
@@ -63,6 +77,4 @@ def drop(df: DataFrame) -> None:
     """Delete a table that keep() wrote and nothing reads any more."""
     path = getattr(df, "_kept_path", None)
     if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(df.sparkSession, path)

@@ -124,3 +124,18 @@ def test_streaming_equals_batch(spark, tmp_path):
     q.awaitTermination(60)
     assert sorted(map(tuple, spark.table("counts").collect())) == sorted(map(tuple, windowed_counts(rows, "id", "ts", "1 minute").collect()))
     assert sorted((r["id"], r["n"]) for r in session_counts(rows, "id", "ts", "1 minute").collect()) == [(1, 1), (1, 2), (2, 1)]
+
+
+def test_scratch_is_released(spark):
+    from pathlib import Path
+
+    from contigloom import runtime
+
+    df = runtime.keep(spark.range(5), "test")
+    folder = Path(df._kept_path.removeprefix("file://"))
+    assert df.count() == 5 and folder.exists() and spark.sparkContext.applicationId in str(folder)
+    runtime.drop(df)
+    assert not folder.exists()
+    runtime.keep(spark.range(5), "test")
+    runtime.release(spark)
+    assert not folder.parent.exists()

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from contigloom.runtime import ship
 
-Q, WINDOW, STRIDE, SHARE = 10, 100, 25, 0.07
+Q, WINDOW, STRIDE, SHARE = 10, 64, 8, 0.07
 TABLE_BITS = 22
 #: q-grams are hashed so many at a time, however long a text is.
 SLICE = 1 << 19

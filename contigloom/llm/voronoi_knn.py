@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from contigloom.runtime import keep, ship
 
-PIVOTS, QUERY_BLOCK, ROW_BLOCK = 48, 2048, 8192
+#: Pivots: a quarter of the square root of the number of rows, between these bounds; rows of a block on either side.
+LEAST_PIVOTS, MOST_PIVOTS, QUERY_BLOCK, ROW_BLOCK = 48, 4096, 2048, 8192
 
 
 def integer_vectors(rows: DataFrame, key: str, vector: str, scale: float) -> DataFrame:
@@ -75,11 +76,11 @@ def top_k(rows: DataFrame, is_query, k: int = 5, key: str = "vec_id", vector: st
     if not summary["queries"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     dim = max(1, summary["dim"])
-    picked = vectors.orderBy(F.xxhash64("id", F.lit(3)), "id", "v").limit(PIVOTS).collect()
+    picked = vectors.orderBy(F.xxhash64("id", F.lit(3)), "id", "v").limit(min(MOST_PIVOTS, max(LEAST_PIVOTS, math.isqrt(summary["n"]) // 4))).collect()
     p_ids = np.array([r["id"] for r in picked])
     pivots = np.array([r["v"] + [0] * (dim - len(r["v"])) for r in picked], np.int64)
     n_groups = int(min(len(picked), max(1, summary["queries"] // QUERY_BLOCK)))
-    held = spark.sparkContext.broadcast((p_ids, pivots))  # of a fixed number of rows
+    held = spark.sparkContext.broadcast((p_ids, pivots))  # of a bounded number of rows
 
     def assign(batches):
         p_ids, pivots = held.value

@@ -22,6 +22,18 @@ def query(f):
     return f
 
 
+ORACLES["overlap_resolution"] = f"""WITH RECURSIVE {t.CHILDREN}, a AS (SELECT scaffold, line, contig, supp, price, line * 20 AS s, line * 20 + length AS e, CAST(floor(price * 100 / length) AS BIGINT) AS score, row_number() OVER (PARTITION BY scaffold ORDER BY line, contig, supp, price) AS rn FROM children),
+f AS (SELECT scaffold, rn, rn AS k, e, score, true AS fresh FROM a WHERE rn = 1 UNION ALL
+  SELECT a.scaffold, a.rn, CASE WHEN f.e - 5 < a.s OR a.score > f.score THEN a.rn ELSE f.k END, CASE WHEN f.e - 5 < a.s OR a.score > f.score THEN a.e ELSE f.e END, CASE WHEN f.e - 5 < a.s OR a.score > f.score THEN a.score ELSE f.score END, f.e - 5 < a.s
+  FROM f JOIN a ON a.scaffold = f.scaffold AND a.rn = f.rn + 1),
+g AS (SELECT scaffold, k, coalesce(lead(fresh) OVER (PARTITION BY scaffold ORDER BY rn), true) AS last FROM f), w AS (SELECT DISTINCT scaffold, k FROM g WHERE last)
+SELECT a.scaffold, line, contig, supp, price, s, e, score, k IS NOT NULL AS kept, false AS conflict FROM a LEFT JOIN w ON a.scaffold = w.scaffold AND a.rn = k"""
+
+ORACLES["subgraphs"] = f"""WITH RECURSIVE {t.EDGES}, {t.PARTS}, x AS (SELECT e.*, c1 || CASE WHEN p.length > 4000 THEN CASE o1 WHEN '+' THEN ':r' ELSE ':l' END ELSE '' END AS va, c2 || CASE WHEN q.length > 4000 THEN CASE o2 WHEN '+' THEN ':l' ELSE ':r' END ELSE '' END AS vb
+  FROM edges e JOIN parts p ON p.id = c1 JOIN parts q ON q.id = c2 WHERE support >= 3), {flat.COMPONENTS.format(a="va", b="vb", edges="x")},
+m AS (SELECT u, min(label) AS subgraph FROM lab GROUP BY 1) SELECT c1, c2, support, dist, std, o1, o2, subgraph FROM x JOIN m ON u = va"""
+
+
 def _distances(spark, sf):
     """Edge distances of one library per return flag: c1, o1, c2, o2, dist, std, lib."""
     li = t.table(spark, sf, "lineitem")
@@ -53,7 +65,7 @@ def gap_correction(spark, sf):
 
 @query
 def overlap_resolution(spark, sf):
-    a = t.children(spark, sf).withColumns({"s": F.col("line") * 20, "e": F.col("line") * 20 + F.col("length"), "score": F.round(F.col("price") / F.col("length"), 4)})
+    a = t.children(spark, sf).withColumns({"s": F.col("line") * 20, "e": F.col("line") * 20 + F.col("length"), "score": F.floor(F.col("price") * 100 / F.col("length"))})
     return intervals.overlap_resolution(a.select("scaffold", *t.ORDER, "s", "e", "score"), "scaffold", "s", "e", "score", t.ORDER, overlap=5)
 
 

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from contigloom.operators.graph import connected_components
 from contigloom.runtime import keep, ship
 
-BANDS, ROWS = 24, 5
-M = BANDS * ROWS
+#: Registers of a sketch.
+M = 120
 BASE, RATE, LIMIT = 1.001, 20.0, 65534
 _rng = np.random.default_rng(20240607)
 _MULTIPLIERS = _rng.integers(0, 1 << 31, M, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -79,6 +79,11 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     return np.clip(k, 0, LIMIT + 1).astype("<u2")
 
 
+def band_rows(least: float) -> int:
+    """Registers a band: the most for which a pair at the similarity `least` shares no band with a probability below one in a million."""
+    return max((r for r in range(1, M + 1) if M % r == 0 and (1 - least**r) ** (M // r) < 1e-6), default=1)
+
+
 _GRID = np.linspace(0, 1, 101)
 
 
@@ -131,9 +136,10 @@ class Family:
         n, percent = len(sets), round(least * 100)
         slack = 5 * math.sqrt(least * (1 - least) / M)
         size = np.array([len(s) for s in sets])
-        parts = regs.reshape(n, BANDS, ROWS).astype(np.uint64)
-        bands = np.zeros((n, BANDS), np.uint64)
-        for i in range(ROWS):
+        per = band_rows(least)
+        parts = regs.reshape(n, M // per, per).astype(np.uint64)
+        bands = np.zeros((n, M // per), np.uint64)
+        for i in range(per):
             bands = bands * _STEP + parts[:, :, i]
         component, found = np.arange(n), []
         for x in range(n - 1):
@@ -208,7 +214,7 @@ def links_of(rows: DataFrame, width: int, least: float) -> DataFrame:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.85, block_rows: int = 512, block_shingles: int = 2_000_000) -> DataFrame:
     """key, n_shingles, component_id (smallest key reachable over links) and kept (is that key) of every row.
 
-    Links join sets with 100 * intersection >= 85 * union. Equal sets are one node from the start, so copies cost no pairs. Nodes that share a band's bucket are
+    Links join sets with intersection >= least * union (in whole hundredths). Equal sets are one node from the start, so copies cost no pairs. Nodes that share a band's bucket are
     tied to the bucket's smallest node, and what is tied together is a family. A family is cut into blocks of about block_rows documents, and
     every pair of blocks is solved by itself, so no link between different sets that share a bucket is lost, no task holds more than two blocks, and
     no pairs are written but links that connect. A pair at the limit shares no band with a probability below one in a million.
@@ -222,7 +228,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     sk = keep(sketch(docs, "doc", "text", width), "sketches")
     nodes = sk.filter("n_shingles > 0").groupBy("set_hash").agg(F.min("doc").alias("rep"), F.min("n_shingles").alias("n_shingles"), F.min("sketch").alias("sketch"))
     nodes = keep(nodes, "nodes")
-    bands = F.array(*(F.xxhash64(F.lit(i), F.substring("sketch", 1 + 2 * ROWS * i, 2 * ROWS)) for i in range(BANDS)))
+    per = band_rows(least)
+    bands = F.array(*(F.xxhash64(F.lit(i), F.substring("sketch", 1 + 2 * per * i, 2 * per)) for i in range(M // per)))
     rows = nodes.filter("rep is not null").select("rep", F.explode(bands).alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("bucket", "lo")
     ties = rows.join(shared, (rows["bucket"] == shared["bucket"]) & (F.col("rep") != F.col("lo"))).select(F.col("lo").alias("a"), F.col("rep").alias("b"))
@@ -240,13 +247,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     return out.select(F.col("doc").alias(key), "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc") == own, F.lit(False)).alias("kept"))
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", broadcast_bytes: int = 32 << 20) -> DataFrame:
-    """docs with one document of each near-duplicate group, the one that names it.
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", broadcast_bytes: int = 32 << 20, least: float = 0.85) -> DataFrame:
+    """docs with one document of each near-duplicate group (links from a similarity of `least`), the one that names it.
 
     The keys to leave out are broadcast only if they are few, else anti-joined by a shuffle. Of rows that share a key, one stays if any is kept;
     rows without a key are left out.
     """
-    found = near_duplicates(docs, key, text).filter(F.col(key).isNotNull())
+    found = near_duplicates(docs, key, text, least=least).filter(F.col(key).isNotNull())
     found = keep(found.groupBy(key).agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "kept")
     n = found.agg(F.count_if(~F.col("kept")).alias("drop"), F.count_if(F.col("kept") & (F.col("n") > 1)).alias("repeated")).first()
     gone = found.filter(~F.col("kept")).select(key)

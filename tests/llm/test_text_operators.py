@@ -279,3 +279,20 @@ def test_registers_estimate_and_merge():
         assert (np.maximum(ra, rb) == rab).all()
         j = near_dedup.joint_estimate(ra[None], rb[None], np.array([float(len(a))]), np.array([float(len(b))]))[0]
         assert abs(j - true) < 0.16
+
+
+def test_the_stage_drops_near_copies_from_eighty_hundredths(spark):
+    import corpus_pipeline
+
+    rows, like = [], []
+    for g in range(40):
+        base = [f"g{g}w{k}" for k in range(104 + g)]
+        n = len(base) - 4
+        both = next(b for b in range(n) if 100 * b >= 80 * (2 * n - b))
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(base[: both + 4] + [f"x{g}y{k}" for k in range(n - both)]))]
+        like.append(both / (2 * n - both))
+    assert all(0.8 <= x < 0.85 for x in like)
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, d, "").collect()) == [2 * g for g in range(40)]
+    assert near_dedup.one_of_each(d).count() == 80
+    assert near_dedup.band_rows(0.85) == 5 and near_dedup.band_rows(0.8) == 4

@@ -158,6 +158,19 @@ def test_wrapper_without_article_element():
     assert text.startswith("Long text of story 0.") and text.endswith("Second part 0.") and "cookies" not in text and "tagline" not in text
 
 
+def test_every_layout_of_a_host_gives_its_text(spark):
+    layouts = [
+        lambda i: f"<article><h1>Title {i}</h1><p>Story {i} of the first kind</p></article>",
+        lambda i: f"<div class='content'><h1>Title {i}</h1><p>Story {i} of the second kind</p></div>",
+        lambda i: f"<div class='x'><h1>Title {i}</h1><p>Story {i} of the third kind</p></div>",
+    ]
+    name = ["first", "second", "third"]
+    for url in ("http://b.example.com/{}", None):
+        rows = [(i, url and url.format(i), page(layouts[i % 20 % 3 if i % 20 < 3 else 0](i), i)) for i in range(120)]
+        out = {r["page_id"]: r["text"] for r in wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+        assert out == {i: f"Title {i} Story {i} of the {name[i % 20 if i % 20 < 3 else 0]} kind" for i in range(120)}
+
+
 def test_wrapper_items():
     lines = lambda n, extra: [("a", "h1", f"t{n}"), *[("a", "p", f"x{n}{k}") for k in range(n)], *([("a", "aside", "opt")] if extra else [])]
     w = wrappers.fold(lines(3, True))

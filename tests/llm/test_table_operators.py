@@ -171,6 +171,24 @@ def test_every_layout_of_a_host_gives_its_text(spark):
         assert out == {i: f"Title {i} Story {i} of the {name[i % 20 if i % 20 < 3 else 0]} kind" for i in range(120)}
 
 
+def test_copies_of_one_article_keep_their_text(spark):
+    copy = lambda i: page(f"<div class='content'><h1>One heading</h1><p>The only paragraph of an article that is copied many times.</p></div><p>seen {i}</p>", i)
+    counted = lambda i: page(f"<div class='content'><h1>One heading</h1><p>The only paragraph of an article that is copied many times.</p><div>read {i} times</div></div>", i)
+    single = lambda i: page("<div class='content'><p>A body of one block</p></div>", i)
+    text = "One heading The only paragraph of an article that is copied many times."
+    rows = [(i, f"http://{h}.example.com/{i}", f(i)) for h, f in (("c", copy), ("d", counted), ("e", single)) for i in range(20)]
+    out = [(r["url"][7], r["page_id"], r["text"]) for r in wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()]
+    assert sorted(out) == sorted((h, i, {"c": text, "d": f"{text} read {i} times", "e": "A body of one block"}[h]) for h in "cde" for i in range(20))
+
+
+def test_fixed_texts_of_a_site_are_left_out():
+    import json
+
+    pages = [page(f"<div class='content'><h2>Our daily</h2><p>{f'Story {i} has words of its own, w{i}. ' * 4}</p></div>", i) for i in range(5)]
+    assert "Our daily" not in wrappers.extract(pages[0], json.loads(wrappers.infer(pages)))
+    assert "Our daily" in wrappers.extract(pages[0], json.loads(wrappers.infer(pages[:1] * 5)))
+
+
 def test_wrapper_items():
     lines = lambda n, extra: [("a", "h1", f"t{n}"), *[("a", "p", f"x{n}{k}") for k in range(n)], *([("a", "aside", "opt")] if extra else [])]
     w = wrappers.fold(lines(3, True))

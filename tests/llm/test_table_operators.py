@@ -189,6 +189,17 @@ def test_fixed_texts_of_a_site_are_left_out():
     assert "Our daily" in wrappers.extract(pages[0], json.loads(wrappers.infer(pages[:1] * 5)))
 
 
+def test_short_parts_of_an_article_stay(spark):
+    body = lambda i: (
+        f"<div class='tagline'>Tag {i}</div><div class='x'><h1>Title {i}</h1><p>{'Long text. ' * 40}{i}</p><ul><li>item {i}</li></ul><blockquote><p>quote {i}</p></blockquote>"
+        f"<table><tr><td>cell {i}</td></tr></table><section><p>part {i}</p></section><p>End {i}</p><ol><li>last {i}</li></ol></div>"
+    )
+    rows = [(i, url.format(i), page(body(i), i)) for i in range(20) for url in ("http://f.example.com/{}", "http://h{}.example.com/")]
+    for r in wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        i = r["page_id"]
+        assert r["text"] == f"Title {i} {'Long text. ' * 40}{i} item {i} quote {i} cell {i} part {i} End {i} last {i}"
+
+
 def test_wrapper_items():
     lines = lambda n, extra: [("a", "h1", f"t{n}"), *[("a", "p", f"x{n}{k}") for k in range(n)], *([("a", "aside", "opt")] if extra else [])]
     w = wrappers.fold(lines(3, True))

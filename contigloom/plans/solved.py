@@ -109,7 +109,7 @@ def subgraphs(spark, sf):
 
 @query
 def scaffold_order(spark, sf):
-    return scaffold.order_scaffolds(_subgraphs(spark, sf), t.parts(spark, sf), k=60, budget=5000)
+    return scaffold.order_scaffolds(_subgraphs(spark, sf), t.parts(spark, sf), k=60)
 
 
 @query

@@ -133,3 +133,16 @@ def test_utilities(spark, make, tmp_path):
     c = make([("S", 1, "a", "+", 900), ("S", 2, "b", "+", 900)], "scaffold string, pos int, contig string, ori string, length int")
     e = make([("b", "+", "a", "+", 10, 5, 3)], "c1 string, o1 string, c2 string, o2 string, dist int, std int, support int")
     assert workflow.circular_sequences(c, e).count() == 1
+
+
+def test_scaffold_order_query_has_the_workflow_budget(spark, sf_dir, monkeypatch):
+    import inspect
+
+    from contigloom.plans import catalog
+
+    own, seen = inspect.signature(scaffold.order_scaffolds), []
+    monkeypatch.setattr(scaffold, "order_scaffolds", lambda *a, **b: seen.append(own.bind(*a, **b)))
+    catalog.QUERIES["scaffold_order"](spark, sf_dir)
+    seen[0].apply_defaults()
+    assert seen[0].arguments["budget"] == own.parameters["budget"].default == 100_000
+    assert next(f.default for f in workflow.Options.__dataclass_fields__.values() if f.name == "budget") == 100_000

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,3 +80,26 @@ def drop(df: DataFrame) -> None:
     path = getattr(df, "_kept_path", None)
     if path:
         _delete(df.sparkSession, path)
+
+
+def trim() -> None:
+    """Give memory that this process has freed back to the system."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over a task's batches that leaves its worker as small as it found it."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return tidied

@@ -19,6 +19,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 #: Rows that one (source, bucket) window holds at most on average.
 BUCKET_ROWS = 4_000
 SPACES = r"[\x20\x09-\x0D]+"
+SEED = 17
 
 
 def n_words(text):
@@ -45,18 +46,18 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int
     return s.select("source", "source_size", F.least(F.col("cap"), F.coalesce(level, F.lit(math.inf)) * F.col("weight")).alias("target"))
 
 
-def sized(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 17) -> DataFrame:
+def sized(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED) -> DataFrame:
     """row, key, source, size and order of every row, as a table in the shared folder."""
     return keep(docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).cast("long").alias("size"), F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("order")), "sized")
 
 
-def mix(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3) -> tuple[DataFrame, DataFrame]:
+def mix(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3, whole: bool = False) -> tuple[DataFrame, DataFrame]:
     """(sources, sequence) from sized() rows: (source, source_size, target), and the mix
     (row, source, copy, finish, taken) in the order it is served, range-partitioned and sorted by finish.
 
     Totals before a document are summed in two steps, over buckets of the order and inside one bucket, so a source of a third of all
     rows is spread over many tasks. Documents of size 0 are never taken; ties of the order go by key and row; a document
-    is taken most times at most; the copy that a source's target ends in is taken in part.
+    is taken most times at most; the copy that a source's target ends in is taken in part or, if whole, taken or left as a whole, whichever is nearer to the target.
     """
     bits = max(6, math.ceil(math.log2(max(1, rows.count()) / BUCKET_ROWS + 1)))
     name = F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source"))
@@ -70,6 +71,8 @@ def mix(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3) ->
     r = r.join(base, ["name", "bucket"]).withColumn("start", F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     copies = r.select("*", F.explode(F.sequence(F.lit(0), F.lit(most - 1))).alias("copy")).withColumn("start", F.col("start") + F.col("copy") * F.col("source_size"))
     served = copies.withColumn("taken", F.least(F.col("size"), F.round("target").cast("long") - F.col("start"))).filter("taken > 0")
+    if whole:
+        served = served.filter(2 * F.col("taken") > F.col("size")).withColumn("taken", F.col("size"))
     served = served.select("row", "source", "copy", ((F.col("start") + F.col("size")) / F.col("target")).alias("finish"), "taken", "order")
     return goal, served.repartitionByRange("finish", "order", "copy").sortWithinPartitions("finish", "order", "copy").drop("order")
 
@@ -88,19 +91,28 @@ def mixed_sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     return out.select(F.col("key").alias(key), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", length: str = "n_chars") -> DataFrame:
-    """The documents of the mix, a row per copy, with the columns of docs; keys are unique.
+def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", length: str = "n_chars", whole: bool = False) -> DataFrame:
+    """The documents of the mix, a row per copy, with the columns of docs, in the order of their virtual finish times.
 
-    The copy that a source's target ends in holds as many words as are left of it, single-spaced. The join by key shuffles the texts
-    once, at every size: a mix names most documents.
+    If whole, every copy is a whole document. Else the copy that a source's target ends in holds as many words as are left of it, single-spaced. Rows are
+    told apart by key and text, so null and repeated keys are rows like others; equal rows of one key are served as often as the mix names any of them.
+    Empty and null texts are not taken; an empty table gives none. The join shuffles the texts once, at every size: a mix names most documents;
+    the global range sort shuffles them once more.
     """
     rows = sized(docs, key, text, source)
-    sequence = keep(mix(rows)[1].select("row", "taken"), "mix")
-    copies = sequence.join(rows.select("row", "key", "size"), "row").select(F.col("key").alias("_mix_key"), F.col("size").alias("_mix_size"), F.col("taken").alias("_mix_taken"))
-    out = docs.join(copies.hint("merge"), F.col(key) == F.col("_mix_key"))
-    words = F.array_remove(F.split(F.col(text), SPACES), "")
-    cut = F.when(F.col("_mix_taken") < F.col("_mix_size"), F.array_join(F.slice(words, F.lit(1), F.col("_mix_taken").cast("int")), " ")).otherwise(F.col(text))
-    out = out.withColumn(text, cut)
-    if length in docs.columns:
-        out = out.withColumn(length, F.length(text).cast(docs.schema[length].dataType))
-    return out.select(docs.columns)
+    served = mix(rows, whole=whole)[1].select("row", "finish", "copy", "taken").join(rows, "row")
+    # equal rows share the copies that the mix took of them
+    copies = served.select(F.col("key").alias("_key"), F.col("order").alias("_order"), F.col("source").alias("_source"), F.col("row").alias("_row"), F.col("finish").alias("_finish"), F.col("copy").alias("_copy"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
+    copies = keep(copies, "mix")
+    repeated = rows.groupBy("key", "order", "source").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count() > 0
+    order = F.xxhash64(F.lit(SEED), F.col(key), F.col(text))
+    same = order.eqNullSafe(F.col("_order")) & F.col(key).eqNullSafe(F.col("_key")) & F.col(source).cast("string").eqNullSafe(F.col("_source"))
+    named = docs.dropDuplicates([key, text, source]) if repeated else docs
+    out = named.join(copies.hint("merge"), same)
+    if not whole:
+        words = F.array_remove(F.split(F.col(text), SPACES), "")
+        cut = F.when(F.col("_taken") < F.col("_size"), F.array_join(F.slice(words, F.lit(1), F.col("_taken").cast("int")), " ")).otherwise(F.col(text))
+        out = out.withColumn(text, cut)
+        if length in docs.columns:
+            out = out.withColumn(length, F.length(text).cast(docs.schema[length].dataType))
+    return out.repartitionByRange("_finish", "_row", "_copy").sortWithinPartitions("_finish", "_row", "_copy").select(docs.columns)

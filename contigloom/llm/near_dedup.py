@@ -18,8 +18,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contigloom.llm.chunks import chunks, hashes, slices
 from contigloom.operators.graph import connected_components
-from contigloom.runtime import keep, ship
+from contigloom.runtime import keep, ship, tidy
 
 #: Registers of a sketch.
 M = 120
@@ -32,36 +33,33 @@ _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
 class Shingler:
-    """Sorted distinct 64-bit shingle hashes of texts; word hashes are held in a bounded dictionary."""
+    """Sorted distinct 64-bit shingle hashes of texts, whose words are hashed all at once."""
 
-    def __init__(self, width: int, most: int = 400_000):
-        self.width, self.most, self.known = width, most, {}
+    def __init__(self, width: int):
+        self.width = width
 
     def __call__(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()  # of bytes: A-Z only, and the six ASCII white-space characters
-        n, known = len(words), self.known
-        if n < self.width:
-            return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=n + 1)] if n else [], np.uint64)
-        if len(known) > self.most:
-            known.clear()
-        try:
-            h = [known[w] for w in words]
-        except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = xxhash.xxh64_intdigest(w)
-            h = [known[w] for w in words]
-        x = np.array(h, np.uint64)
-        k = n - self.width + 1
+        return self.all([text])[0]
+
+    def all(self, texts: list[bytes]) -> list[np.ndarray]:
+        """One set for each text. Lower case of bytes changes A-Z only, and words are parted by the six ASCII white-space characters."""
+        raw, start, end, first = chunks([t.lower() for t in texts])
+        x, width, out = hashes(raw, start, end), self.width, []
+        k = max(0, len(x) - width + 1)
         s = x[:k].copy()
-        for i in range(1, self.width):
+        for i in range(1, width):
             s *= _STEP
             s += x[i : i + k]
         s ^= s >> np.uint64(31)
         s *= _MIX
         s ^= s >> np.uint64(29)
-        s.sort()
-        return s[np.concatenate([[True], s[1:] != s[:-1]])]
+        for low, high in zip(first.tolist(), first[1:].tolist()):
+            if high - low < width:
+                out.append(np.array([xxhash.xxh64_intdigest(b" ".join(raw[start[i] : end[i]] for i in range(low, high)), seed=high - low + 1)] if high > low else [], np.uint64))
+                continue
+            own = np.sort(s[low : high - width + 1])
+            out.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
+        return out
 
 
 def registers(sets: list[np.ndarray]) -> np.ndarray:
@@ -104,24 +102,23 @@ def joint_estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarra
 
 
 def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:
-    """key, n_shingles, set_hash (of the whole set) and sketch (registers, null without words) of every row."""
+    """key, n_shingles, set_hash (of the whole set), sketch (registers, null without words) and copy (a hash of the text) of every row."""
     ship(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(width)
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                b = batch.slice(at, 64)
-                sets = [shingles(t) for t in b.column(1).cast(pa.binary()).to_pylist()]
+            for b in slices(batch, 1, 128):
+                sets = shingles.all(b.column(1).cast(pa.binary()).to_pylist())
                 full = [s for s in sets if len(s)]
                 rows = iter(registers(full)) if full else iter(())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([next(rows).tobytes() if len(s) else None for s in sets], pa.binary())],
-                    names=[key, "n_shingles", "set_hash", "sketch"],
-                )
+                size, digest = pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary())
+                sketches = pa.array([next(rows).tobytes() if len(s) else None for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column(0), size, digest, sketches, b.column(2)], names=[key, "n_shingles", "set_hash", "sketch", "copy"])
 
-    return docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias(text)).mapInArrow(run, f"`{key}` {kind}, n_shingles long, set_hash binary, sketch binary")
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(F.col(key), whole.alias(text), F.xxhash64(whole).alias("copy")).mapInArrow(tidy(run), f"`{key}` {kind}, n_shingles long, set_hash binary, sketch binary, copy long")
 
 
 class Family:
@@ -173,7 +170,7 @@ def links_of(rows: DataFrame, width: int, least: float) -> DataFrame:
     """
 
     def solve(ready: list[Family], shingles: Shingler) -> pa.RecordBatch:
-        sets = [[shingles(t) for t in f.texts] for f in ready]
+        sets = [shingles.all(f.texts) for f in ready]
         regs = registers([s for own in sets for s in own])
         a, b, at = [], [], 0
         for f, own in zip(ready, sets):
@@ -208,11 +205,11 @@ def links_of(rows: DataFrame, width: int, least: float) -> DataFrame:
     spark_kind = rows.schema["rep"].dataType.simpleString()
     kind = rows.limit(0).select("rep").toArrow().schema.field(0).type
     ordered = rows.select("family", "i", "j", "block", "rep", "text").repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
-    return ordered.mapInArrow(run, f"a {spark_kind}, b {spark_kind}")
+    return ordered.mapInArrow(tidy(run), f"a {spark_kind}, b {spark_kind}")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.85, block_rows: int = 512, block_shingles: int = 2_000_000) -> DataFrame:
-    """key, n_shingles, component_id (smallest key reachable over links) and kept (is that key) of every row.
+def classes(docs: DataFrame, key: str, text: str, width: int = 5, least: float = 0.85, block_rows: int = 512, block_shingles: int = 2_000_000) -> DataFrame:
+    """doc (the key), copy (a hash of the text), n_shingles and component (smallest key reachable over links) of every row.
 
     Links join sets with intersection >= least * union (in whole hundredths). Equal sets are one node from the start, so copies cost no pairs. Nodes that share a band's bucket are
     tied to the bucket's smallest node, and what is tied together is a family. A family is cut into blocks of about block_rows documents, and
@@ -242,20 +239,30 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     full = full.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", F.col("doc").alias("rep"), "text")
     labels = connected_components(keep(links_of(full, width, least), "links"))
     names = nodes.select("set_hash", "rep").join(labels.withColumnRenamed("vertex", "rep"), "rep", "left").select("set_hash", F.coalesce("component", "rep").alias("component"))
-    out = sk.select("doc", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_hash")).alias("set_hash")).join(names, "set_hash", "left")
+    out = sk.select("doc", "copy", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_hash")).alias("set_hash")).join(names, "set_hash", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc"))
+    return out.select("doc", "copy", "n_shingles", own.alias("component"))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.85, block_rows: int = 512, block_shingles: int = 2_000_000) -> DataFrame:
+    """key, n_shingles, component_id (smallest key reachable over links) and kept (is that key) of every row; see classes()."""
+    own = F.col("component")
+    out = classes(docs, key, text, width, least, block_rows, block_shingles)
     return out.select(F.col("doc").alias(key), "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc") == own, F.lit(False)).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", broadcast_bytes: int = 32 << 20, least: float = 0.85) -> DataFrame:
     """docs with one document of each near-duplicate group (links from a similarity of `least`), the one that names it.
 
-    The keys to leave out are broadcast only if they are few, else anti-joined by a shuffle. Of rows that share a key, one stays if any is kept;
-    rows without a key are left out.
+    The rows to leave out, named by key and text hash, are broadcast only if they are few, else anti-joined by a shuffle. Of rows that share a key, one stays,
+    of the text that is kept; rows without a key are left out.
     """
-    found = near_duplicates(docs, key, text, least=least).filter(F.col(key).isNotNull())
-    found = keep(found.groupBy(key).agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "kept")
-    n = found.agg(F.count_if(~F.col("kept")).alias("drop"), F.count_if(F.col("kept") & (F.col("n") > 1)).alias("repeated")).first()
-    gone = found.filter(~F.col("kept")).select(key)
-    out = docs.filter(F.col(key).isNotNull()).join(F.broadcast(gone) if n["drop"] * 40 <= broadcast_bytes else gone.hint("merge"), key, "left_anti")
+    found = classes(docs, key, text, least=least).filter(F.col("doc").isNotNull())
+    found = keep(found.groupBy("doc", "copy").agg(F.max(F.coalesce(F.col("doc") == F.col("component"), F.lit(False))).alias("kept"), F.count("*").alias("n")), "kept")
+    seen = found.groupBy("doc").agg(F.count_if(~F.col("kept")).alias("drop"), F.sum("n").alias("n"))
+    n = seen.agg(F.coalesce(F.sum("drop"), F.lit(0)).alias("drop"), F.count_if((F.col("n") > 1) & (F.col("n") > F.col("drop"))).alias("repeated")).first()
+    gone = found.filter(~F.col("kept")).select(F.col("doc").alias("_gone"), F.col("copy").alias("_copy"))
+    rows = docs.filter(F.col(key).isNotNull())
+    same = (F.col(key) == F.col("_gone")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("_copy"))
+    out = rows.join(F.broadcast(gone) if n["drop"] * 64 <= broadcast_bytes else gone.hint("merge"), same, "left_anti")
     return (out.dropDuplicates([key]) if n["repeated"] else out).select(docs.columns)

@@ -3,22 +3,23 @@
 A word's embedding is the sum of hashed embeddings of the word and of its prefixes. Filters of widths 1, 2 and 3 run over a
 text's words, each filter's largest response is kept, and a logistic layer scores them. The first embedding dimension
 starts from the log-odds of its bucket in the training texts; everything is then trained by gradient steps
-(Adagrad). Decision thresholds are calibrated by language on training rows left out of the fit; the score itself never
-sees the language.
+(Adagrad). Decision thresholds are calibrated by language on all labelled rows outside the held-out fifth that the fit left out;
+the score itself never sees the language.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contigloom.runtime import ship
+from contigloom.llm.chunks import slices
+from contigloom.runtime import keep, ship, tidy
 
 WIDTHS = (1, 2, 3)
 #: Lengths of the hashed prefixes.
@@ -45,6 +46,11 @@ class Model:
     out: np.ndarray
     base: float
     thresholds: dict[str, float] = field(default_factory=dict)
+    fit_keys: DataFrame | None = None  # the keys of the rows it was fitted on
+
+    def plain(self) -> Model:
+        """What tasks need of it."""
+        return replace(self, fit_keys=None)
 
     def responses(self, words: list[bytes]) -> np.ndarray:
         """What each word adds to each filter at each of its places."""
@@ -57,51 +63,69 @@ class Model:
 
 
 class Scorer:
-    """Scores texts; the responses of words are held in a bounded table."""
+    """Scores texts; the responses of words are held in a table of a fixed number of rows, emptied when it is full."""
+
+    #: Rows of word responses that are worked on at once.
+    STEP = 8192
 
-    def __init__(self, model: Model, most: int = 120_000):
+    def __init__(self, model: Model, most: int = 32_768):
         self.model, self.most = model, most
         self.n_filters = model.filters[1].shape[2]
-        self._clear()
+        self._clear(most)
 
-    def _clear(self) -> None:
+    def _clear(self, rows: int) -> None:
         self.known: dict[bytes, int] = {}
-        self.table = np.zeros((1 << 14, self.n_filters * sum(WIDTHS)), np.float32)
+        self.table = np.zeros((rows + 1, self.n_filters * sum(WIDTHS)), np.float32)
         self.used = 1  # row 0 is padding
 
     def _add(self, new: list[bytes]) -> None:
         if self.used + len(new) > len(self.table):
-            self.table = np.concatenate([self.table, np.zeros((max(len(self.table), len(new)), self.table.shape[1]), np.float32)])
-        for i in range(0, len(new), 8192):
-            part = new[i : i + 8192]
+            self.table = np.concatenate([self.table, np.zeros((len(new), self.table.shape[1]), np.float32)])
+        for i in range(0, len(new), self.STEP):
+            part = new[i : i + self.STEP]
             self.table[self.used : self.used + len(part)] = self.model.responses(part)
             self.known.update(zip(part, range(self.used, self.used + len(part))))
             self.used += len(part)
 
     def pooled(self, words: list[bytes]) -> np.ndarray:
-        """Largest responses over the whole text, in blocks of words that overlap by the largest width."""
-        known, f, best = self.known, self.n_filters, None
-        ids = np.fromiter((known[w] for w in words), np.int64, len(words))
-        ids = np.concatenate([[0, 0], ids, [0, 0]])
-        for at in range(0, len(ids) - 2, 4096):
-            g = self.table[ids[at : at + 4098]]
-            n, col, parts = len(g) - 2, 0, []
-            for w in WIDTHS:
+        """Largest responses over one text."""
+        return self.pooled_all([words])[0]
+
+    def pooled_all(self, split: list[list[bytes]]) -> np.ndarray:
+        """Largest responses over each whole text. The texts' words follow one another with two paddings between; places are taken in
+        blocks that overlap by the largest width, and a text's blocks are merged by maximum."""
+        known, f = self.known, self.n_filters
+        size = np.array([len(w) + 2 for w in split])
+        first = np.cumsum(size) - size
+        ids = np.zeros(int(size.sum()) + 2, np.int32)
+        for at, words in zip(first.tolist(), split):
+            ids[at + 2 : at + 2 + len(words)] = [known[w] for w in words]
+        best = np.full((len(split), f * len(WIDTHS)), -np.inf, np.float32)
+        for at in range(0, len(ids) - 2, self.STEP):
+            g = self.table[ids[at : at + self.STEP + 2]]
+            n = len(g) - 2
+            low, high = np.searchsorted(first, at, "right") - 1, np.searchsorted(first, at + n)
+            starts, col = np.maximum(first[low:high] - at, 0), 0
+            for i, w in enumerate(WIDTHS):
                 r = g[:n, col : col + f]
                 for k in range(1, w):
                     r = r + g[k : k + n, col + k * f : col + (k + 1) * f]
-                parts.append(r.max(0))
+                own = best[low:high, i * f : (i + 1) * f]
+                np.maximum(own, np.maximum.reduceat(r, starts, axis=0), out=own)
                 col += w * f
-            block = np.concatenate(parts)
-            best = block if best is None else np.maximum(best, block)
         return best
 
     def __call__(self, texts: list[bytes]) -> np.ndarray:
-        if self.used > self.most:
-            self._clear()
+        if not texts:
+            return np.zeros(0)
         split = [words_of(t) for t in texts]
-        self._add([w for w in set().union(*split) if w not in self.known])
-        return self.model.score(np.stack([self.pooled(w) for w in split]).astype(np.float64)) if texts else np.zeros(0)
+        words = set().union(*split)
+        new = [w for w in words if w not in self.known]
+        if self.used + len(new) > len(self.table) and self.used > 1:
+            self._clear(self.most)
+            new = list(words)
+        self._add(new)
+        return self.model.score(self.pooled_all(split).astype(np.float64))
 
 
 def constant_model(n_filters: int = 1) -> Model:
@@ -119,10 +143,11 @@ def fit(texts: list[bytes], labels: np.ndarray, n_buckets: int = 1 << 17, dim: i
     parts = np.zeros((len(vocabulary) + 1, 1 + len(PREFIXES)), np.int64)
     for w, i in vocabulary.items():
         parts[i] = buckets(w, n_buckets)
-    docs = [np.concatenate([[0, 0], np.fromiter((vocabulary[w] for w in s), np.int64, len(s)), [0, 0]]) for s in split]
+    docs = [np.concatenate([[0, 0], np.fromiter((vocabulary[w] for w in s), np.int32, len(s)), [0, 0]]).astype(np.int32) for s in split]
+    kinds = [tuple(x.astype(np.int32) for x in np.unique(ids, return_inverse=True)) for ids in docs]  # a text's distinct words, and where they stand
     count = np.zeros((2, n_buckets))
-    for ids, y in zip(docs, labels):
-        count[int(y), np.unique(parts[ids])] += 1
+    for (own, _), y in zip(kinds, labels):
+        count[int(y), np.unique(parts[own])] += 1
     odds = np.log((count[1] + 0.5) / ((labels == 1).sum() + 1)) - np.log((count[0] + 0.5) / ((labels == 0).sum() + 1))
     embed = rng.normal(0, 0.02, (n_buckets, dim))
     embed[:, 0] = np.where(count.sum(0) >= 3, np.clip(odds, -4, 4) / 8, 0)
@@ -142,7 +167,8 @@ def fit(texts: list[bytes], labels: np.ndarray, n_buckets: int = 1 << 17, dim: i
             touched, pulls = [], []
             for d in i:
                 ids, y = docs[d], int(labels[d])
-                x = embed[parts[ids]].sum(1)
+                own, where = kinds[d]
+                x = embed[parts[own]].sum(1)[where]
                 m, tops, pooled = len(ids) - 2, [], []
                 for w in WIDTHS:
                     r = sum(x[k : k + m] @ filters[w][k] for k in range(w))
@@ -180,41 +206,63 @@ def fit(texts: list[bytes], labels: np.ndarray, n_buckets: int = 1 << 17, dim: i
     return Model(embed.astype(np.float32), {w: f.astype(np.float32) for w, f in filters.items()}, bias, out, float(base))
 
 
-def calibrate(scores: np.ndarray, labels: np.ndarray, langs: list, least: int = 20) -> dict[str, float]:
-    """For each language with so many rows of both classes together and one of each at least: the threshold of best F1, in the widest gap."""
-    out = {}
-    for lang in {x for x in langs if x is not None}:
-        at = np.array([x == lang for x in langs])
-        s, y = scores[at], labels[at]
-        if len(s) < least or len(set(y.tolist())) < 2:
-            continue
-        cuts = np.unique(s)
-        f1 = np.array([2 * (y[s >= c] == 1).sum() / ((s >= c).sum() + (y == 1).sum()) for c in cuts])
-        best = int(np.flatnonzero(f1 == f1.max())[-1])
-        out[lang] = float((cuts[best] + cuts[best - 1]) / 2 if best else cuts[0])
-    return out
-
-
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", lang: str = "lang", most_rows: int = 4000, most_chars: int = 20_000) -> Model:
-    """Fit on a sample of labelled rows outside the held-out fifth (crc32 of the key as text mod 5 is 0).
-
-    most_rows (half of each class, in the order of a hash of the key) and most_chars (longer texts are left out of the sample) bound the
-    sample and the driver's memory, whatever the size of the tables. A tenth of it is kept from the fit for the thresholds.
-    """
-    known = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).alias("_label"))
-    known = known.filter(F.crc32(F.col(key).cast("string").cast("binary")) % 5 != 0)
+def fit_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, most_rows: int) -> DataFrame:
+    """key and _label of the rows for the fit: at most most_rows of labelled keys outside the held-out fifth and outside every tenth by a hash, half of each class
+    in the order of a hash. A key that is labelled twice counts as toxic if any label says so; null keys and labels are left out."""
+    known = learnable(labels, key, label).filter(F.pmod(F.xxhash64(F.lit(13), key), F.lit(10)) != 0)
     picked = None
     for y in (0, 1):
         side = known.filter(F.col("_label") == y).orderBy(F.xxhash64(F.lit(7), key), key).limit(most_rows // 2)
         picked = side if picked is None else picked.union(side)
-    plain = docs.select(F.col(key), F.col(text).alias("_text"), (F.col(lang) if lang in docs.columns else F.lit(None).cast("string")).alias("_lang"))
-    rows = plain.filter(F.length("_text").between(1, most_chars)).join(F.broadcast(picked), key).orderBy(F.xxhash64(F.lit(11), key), key).collect()
-    texts, y = [r["_text"].encode() for r in rows], np.array([r["_label"] for r in rows], np.int64)
-    held = np.arange(len(rows)) % 10 == 0
-    model = fit([t for t, h in zip(texts, held) if not h], y[~held])
-    if held.any():
-        s = Scorer(model)([t for t, h in zip(texts, held) if h])
-        model.thresholds = calibrate(s, y[held], [r["_lang"] for r, h in zip(rows, held) if h])
+    return picked
+
+
+def learnable(labels: DataFrame, key: str, label: str) -> DataFrame:
+    """key and _label of labelled rows outside the held-out fifth (crc32 of the key as text mod 5 is 0)."""
+    known = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).alias("_label"))
+    return known.filter(F.crc32(F.col(key).cast("string").cast("binary")) % 5 != 0)
+
+
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", most_rows: int = 4000, least_rows: int = 8) -> Model:
+    """Fit on a sample of labelled rows outside the held-out fifth, see fit_sample(); most_rows bounds it, whatever the size of the tables.
+
+    Sampled texts are whole, however long; null and empty ones are texts of no words. Of documents that share a key, all are taken. Fewer than
+    least_rows rows of a class tell nothing that holds for other texts: the model then says nearly 0 for every text.
+    """
+    picked = keep(fit_sample(docs, labels, key, label, most_rows), "fit_keys")
+    plain = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    rows = plain.join(F.broadcast(picked), key).orderBy(F.xxhash64(F.lit(11), key), key, "_text").select("_text", "_label")
+    texts, y = [], []
+    for r in rows.collect():
+        texts.append(r["_text"].encode())
+        y.append(r["_label"])
+    enough = min(y.count(0), y.count(1)) >= least_rows
+    model = fit(texts, np.array(y, np.int64)) if enough else constant_model()
+    model.fit_keys = picked
+    return model
+
+
+def calibrated(model: Model, docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", lang: str = "lang", least: int = 20, bins: int = 1000) -> Model:
+    """The model with a threshold for each language: of best F1 on all labelled rows outside the held-out fifth that the fit left out.
+
+    They are scored in one Arrow pass and counted by language, score in `bins` steps and class; the cut of best F1, in the middle of the widest gap of
+    scores, is found by windows over those counts, and one row per language reaches the driver. Languages with fewer than `least` such rows, or
+    without both classes, keep 0.5, as does a null language. Tables without the column get no thresholds.
+    """
+    if lang not in docs.columns:
+        return model
+    rest = learnable(labels, key, label).join(F.broadcast(model.fit_keys.select(key)), key, "left_anti")
+    named = docs.select(F.struct(key, lang).alias("_key"), F.col(text).alias("_text"), F.col(key).alias("_id")).filter(F.col(f"_key.{lang}").isNotNull())
+    rows = named.join(rest.withColumnRenamed(key, "_id"), "_id").select(F.struct(F.col(f"_key.{lang}").alias("lang"), F.col("_label").alias("label")).alias("_key"), "_text")
+    counts = score_texts(rows, model, "_key", "_text").groupBy(F.col("_key.lang").alias("lang"), F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).alias("bin")).agg(F.count("*").alias("n"), F.sum("_key.label").alias("toxic"))
+    own = Window.partitionBy("lang")
+    above = own.orderBy(F.col("bin").desc())
+    seen = counts.select("lang", "bin", F.lead("bin").over(above).alias("below"), F.sum("toxic").over(above).alias("caught"), F.sum("n").over(above).alias("called"), F.sum("toxic").over(own).alias("all"), F.sum("n").over(own).alias("rows"))
+    seen = seen.filter((F.col("rows") >= least) & (F.col("all") > 0) & (F.col("all") < F.col("rows")))
+    f1 = 2 * F.col("caught") / (F.col("called") + F.col("all"))
+    cut = (F.col("bin") + F.coalesce("below", F.col("bin") - 1) + 1) / (2.0 * bins)
+    best = seen.groupBy("lang").agg(F.max_by(cut, F.struct(f1, F.col("bin") - F.coalesce("below", "bin"), "bin")).alias("cut"))
+    model.thresholds = {r["lang"]: float(r["cut"]) for r in best.collect()}
     return model
 
 
@@ -222,45 +270,36 @@ def score_texts(docs: DataFrame, model: Model, key: str = "doc_id", text: str =
     """key and score of every row's whole text; one Arrow pass, no shuffle. Null and empty texts get the score of no words."""
     spark = docs.sparkSession
     ship(spark)
-    held = spark.sparkContext.broadcast(model)  # of a fixed size
+    held = spark.sparkContext.broadcast(model.plain())  # of a fixed size
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
-        scorer = model.__dict__.setdefault("scorer", None) or Scorer(model)
-        model.scorer = scorer  # for the worker's next task
+        scorer = Scorer(held.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                b = batch.slice(at, 128)
+            for b in slices(batch, 1):
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scorer(b.column(1).cast(pa.binary()).to_pylist()), pa.float64())], names=[key, "score"])
 
-    return docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias(text)).mapInArrow(run, f"`{key}` {kind}, score double")
-
-
-def threshold_column(model: Model, lang):
-    """The calibrated threshold of a language column, 0.5 for languages without one."""
-    out = F.lit(0.5)
-    for name, t in sorted(model.thresholds.items()):
-        out = F.when(lang == name, F.lit(t)).otherwise(out)
-    return out
+    return docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias(text)).mapInArrow(tidy(run), f"`{key}` {kind}, score double")
 
 
 def reject(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
-    """docs without the rows whose score reaches the threshold of their language (0.5 for languages without one); one Arrow pass over all columns."""
+    """docs without the rows whose score reaches the threshold of their language (0.5 for languages without one); one Arrow pass over all columns.
+
+    Null and empty texts get the score of no words; a null language has the threshold 0.5; repeated rows and null keys are judged like others, an empty
+    table stays empty; all columns are kept.
+    """
     spark = docs.sparkSession
     ship(spark)
-    held = spark.sparkContext.broadcast(model)  # of a fixed size
+    held = spark.sparkContext.broadcast(model.plain())  # of a fixed size
     at_text, at_lang = docs.columns.index(text), docs.columns.index(lang) if lang in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
-        scorer = model.__dict__.setdefault("scorer", None) or Scorer(model)
-        model.scorer = scorer
+        scorer = Scorer(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                b = batch.slice(at, 128)
+            for b in slices(batch, at_text):
                 scores = scorer([t or b"" for t in b.column(at_text).cast(pa.binary()).to_pylist()])
                 langs = b.column(at_lang).to_pylist() if at_lang is not None else [None] * b.num_rows
                 yield b.filter(pa.array([s < model.thresholds.get(g, 0.5) for s, g in zip(scores.tolist(), langs)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

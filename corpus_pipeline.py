@@ -9,7 +9,8 @@ from contigloom.runtime import keep, scratch
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return toxicity.reject(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.reject(docs, toxicity.calibrated(toxicity.train(docs, labels), docs, labels))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +22,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return fair_mix.mixed_documents(docs)
+    return fair_mix.mixed_documents(docs, whole=True)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str, tokenizer: str | None = None) -> DataFrame:

@@ -1,161 +1,245 @@
 """Benchmark decontamination: q-gram lemma filtering in diagonal bands, then banded alignment.
 
 Texts are compared in lower case with every run of ASCII characters other than letters and digits as one space. An item is met where one
-of its windows (window characters, a new one every stride; shorter items are one window) lies in a document within the edit budget,
-share * window. Two strings of w characters within k edits share w - q + 1 - k * q q-grams at least (the q-gram lemma), on diagonals
-at most k apart: the hits of a document and an item are counted in overlapping bands of diagonals,
-bands and then windows with fewer hits are dropped, and what remains is aligned in a band of 2k + 1 diagonals.
+of its windows (window characters from every place on; shorter items are one window) lies in a document within the edit budget, share * window.
+Two strings of w characters within k edits share w - q + 1 - k * q q-grams at least (the q-gram lemma), on diagonals at most k apart; q is
+chosen by item so that this is one at least. The hits of a document and an item are counted in overlapping bands of 2k + 2 diagonals, one of which holds
+all diagonals of a match; bands and then windows with fewer hits are dropped, and what remains is aligned inside its band. Items of fewer than
+SHORT characters allow no edits: they are met where their words stand consecutively.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contigloom.runtime import ship
+from contigloom.llm.chunks import slices
+from contigloom.runtime import ship, tidy
 
-Q, WINDOW, STRIDE, SHARE = 10, 64, 8, 0.07
+Q, WINDOW, SHARE, SHORT = 10, 64, 0.07, 10
 TABLE_BITS = 22
-#: q-grams are hashed so many at a time, however long a text is.
-SLICE = 1 << 19
+#: q-grams are hashed, hits are counted, and windows are aligned so many at a time, however long a text is and however often a q-gram recurs.
+SLICE, HITS, UNITS = 1 << 19, 1 << 20, 4096
 _NORMAL = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 _SPACES = re.compile(rb"  +")
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_MIDDLE = 1 << 31
 
 
 def normal(text: bytes) -> bytes:
     return _SPACES.sub(b" ", text.translate(_NORMAL)).strip()
 
 
-def grams(x: np.ndarray) -> np.ndarray:
-    """Hashes of the Q-byte windows of a byte array (Q is 8 to 16)."""
-    n = len(x) - Q + 1
+def grams(x: np.ndarray, q: int = Q) -> np.ndarray:
+    """Hashes of the q-byte windows of a byte array (q is 1 to 16)."""
+    n = len(x) - q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    two = x[:-1].astype(np.uint16) | (x[1:].astype(np.uint16) << np.uint16(8))
-    four = two[:-2].astype(np.uint32) | (two[2:].astype(np.uint32) << np.uint32(16))
-    eight = four[:-4].astype(np.uint64) | (four[4:].astype(np.uint64) << np.uint64(32))
-    h = eight[:n] * _A
-    h ^= eight[Q - 8 : Q - 8 + n] * _B
+    word, wide = x.astype(np.uint64), 1
+    while 2 * wide <= min(q, 8):
+        word = word[:-wide] | (word[wide:] << np.uint64(8 * wide))
+        wide *= 2
+    h = word[:n] * _A
+    h ^= word[q - wide : q - wide + n] * _B
     h ^= h >> np.uint64(32)
     h *= _A
     return h
 
 
-def banded_edits(a: np.ndarray, b: np.ndarray, k: int) -> int:
-    """Fewest edits that turn all of a into some substring of b that starts within 2k places of b's start, on the diagonals 0 to 2k; k + 1 if over k.
+def banded_edits(a: np.ndarray, b: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(fewest edits, diagonal of the end) that turn the rows of a into some substring of the rows of b on the diagonals 0 to width - 1.
 
-    b has up to len(a) + 2k bytes, of which those missing count as unequal.
+    b has len(a) + width places a row; places outside the text hold 256 and count as unequal to all, which is never
+    cheaper than to leave out the character that stands against them.
     """
-    width, n = 2 * k + 1, len(a)
-    padded = np.full(n + width, 256, np.int16)
-    padded[: min(len(b), n + width)] = b[: n + width]
-    steps = np.arange(width)
-    row = np.zeros(width, np.int64)  # a may start on any diagonal
-    for i in range(n):
-        new = row + (padded[i : i + width] != a[i])
-        np.minimum(new[:-1], row[1:] + 1, out=new[:-1])
-        row = np.minimum.accumulate(new - steps) + steps
-        if row.min() > k:
-            return k + 1
-    return int(row.min())
-
-
-class Index:
-    """The q-grams of a block of items: a bit table for a first test, sorted hashes with places for the second."""
-
-    def __init__(self, ids: list, texts: list[bytes]):
-        self.ids, self.items = ids, [np.frombuffer(normal(t), np.uint8) for t in texts]
-        parts = [grams(x) for x in self.items]
-        h = np.concatenate([np.zeros(0, np.uint64), *parts])
-        item = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(p)) for p in parts)]).astype(np.int64)
+    steps = np.arange(width, dtype=np.int16)
+    row = np.zeros((len(a), width), np.int16)  # a may start on any diagonal
+    for i in range(a.shape[1]):
+        new = row + (b[:, i : i + width] != a[:, i : i + 1])
+        np.minimum(new[:, :-1], row[:, 1:] + 1, out=new[:, :-1])
+        row = np.minimum.accumulate(new - steps, axis=1) + steps
+    end = row.argmin(1)
+    return row[np.arange(len(row)), end], end
+
+
+class Grams:
+    """The q-grams of some items: a bit table for a first test, sorted hashes with places for the second."""
+
+    def __init__(self, q: int, which: list[int], items: list[np.ndarray]):
+        self.q, parts = q, [grams(items[i], q) for i in which]
+        h = np.concatenate(parts)
+        item = np.repeat(np.array(which, np.int32), [len(p) for p in parts])
+        place = np.concatenate([np.arange(len(p), dtype=np.int32) for p in parts])
         order = np.argsort(h, kind="stable")
         self.hashes, self.start = np.unique(h[order], return_index=True)
         self.end = np.append(self.start[1:], len(h))
         self.item, self.place = item[order], place[order]
         self.table = np.zeros(1 << TABLE_BITS, np.bool_)
         self.table[self.hashes >> np.uint64(64 - TABLE_BITS)] = True
-        self.windows = []
-        for x in self.items:
-            w = min(WINDOW, len(x))
-            k = int(SHARE * w)
-            starts = list(range(0, len(x) - w, STRIDE)) + [len(x) - w]
-            self.windows.append((w, k, max(1, w - Q + 1 - k * Q), starts) if len(x) >= Q else None)
+        self.longest = max(len(items[i]) for i in which)
 
-    def hits(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in x, item, place in item) of all shared q-grams."""
+    def places(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in x, number of the q-gram) of all q-grams of x that some item has."""
         places, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for low in range(0, len(x) if len(self.hashes) else 0, SLICE):
-            h = grams(x[low : low + SLICE + Q - 1])
+        for low in range(0, len(x), SLICE):
+            h = grams(x[low : low + SLICE + self.q - 1], self.q)
             at = np.flatnonzero(self.table[h >> np.uint64(64 - TABLE_BITS)])
             g = np.searchsorted(self.hashes, h[at])
             g[g == len(self.hashes)] = 0
             same = self.hashes[g] == h[at]
             places.append(at[same] + low)
             found.append(g[same])
-        at, g = np.concatenate(places), np.concatenate(found)
-        n = self.end[g] - self.start[g]
-        rows = np.repeat(self.start[g] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        return np.repeat(at, n), self.item[rows], self.place[rows]
+        return np.concatenate(places), np.concatenate(found)
+
+
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[cut], np.add.reduceat(n, cut) if len(cut) else n
+
+
+class Index:
+    """A block of items, ready to be met: windows has (characters, edits, least hits, starts) of each item, None without characters."""
+
+    def __init__(self, ids: list, texts: list[bytes]):
+        self.ids, self.items = ids, [np.frombuffer(normal(t), np.uint8) for t in texts]
+        self.windows, self.q = [], np.zeros(len(ids), np.int64)
+        by_q, self.short = defaultdict(list), defaultdict(list)
+        for i, x in enumerate(self.items):
+            w = min(WINDOW, len(x))
+            k = int(SHARE * w)
+            if w < SHORT:
+                self.windows.append((w, 0, 1, range(1)) if w else None)
+                if w:
+                    self.short[x.tobytes()].append(i)
+                continue
+            q = min(Q, w // (k + 1))
+            self.q[i] = q
+            self.windows.append((w, k, w - q + 1 - k * q, range(len(x) - w + 1)))
+            by_q[q].append(i)
+        self.edits = np.array([w[1] if w else 0 for w in self.windows], np.int64)
+        self.least = np.array([w[2] if w else 0 for w in self.windows], np.int64)
+        self.grams = [Grams(q, which, self.items) for q, which in sorted(by_q.items())]
+        self.word_counts = sorted({k.count(b" ") + 1 for k in self.short})
+
+    def bands(self, own: Grams, x: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(document, item, band) with hits enough for a window. The hits are expanded slice by slice and only their counts by band are held, of
+        bands that later places can still reach; the band of a diagonal is its number over k + 1, and each hit counts in the next lower one too."""
+        at, g = own.places(x)
+        size = own.end[g] - own.start[g]
+        total = np.cumsum(size)
+        low, key, n = 0, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        while low < len(at):
+            high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + HITS, "right")))
+            m = size[low:high]
+            rows = np.repeat(own.start[g[low:high]] - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))
+            place = np.repeat(at[low:high], m)
+            doc = np.searchsorted(starts, place, "right") - 1
+            item = own.item[rows].astype(np.int64)
+            band = (place - starts[doc] - own.place[rows] + _MIDDLE) // (self.edits[item] + 1)
+            new = (doc * len(self.items) + item) * (1 << 32) + band
+            key, n = _summed(np.concatenate([key, new, new - 1]), np.concatenate([n, np.ones(2 * len(new), np.int64)]))
+            item, band = (key >> 32) % len(self.items), key & ((1 << 32) - 1)
+            doc = (key >> 32) // len(self.items)
+            over = np.ones(len(key), bool)
+            if high < len(at):  # a band that the next place can't reach any more is counted out
+                reach = (band + 2) * (self.edits[item] + 1) - _MIDDLE + own.longest + starts[doc]
+                over = reach < at[high]
+            enough = over & (n >= self.least[item])
+            yield from zip(doc[enough].tolist(), item[enough].tolist(), band[enough].tolist())
+            key, n = key[~over], n[~over]
+            low = high
 
     def matches(self, docs: list[bytes]) -> list[tuple[int, int, int, int, int, int]]:
-        """(document, item, windows met, fewest edits, first and last byte of the normal text) of the pairs that are met."""
+        """(document, item, windows met, fewest edits, first and last byte of the normal text) of the pairs that are met; the bytes are those of the bands around the windows."""
         texts = [normal(t) for t in docs]
         starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
         x = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)  # no q-gram of an item holds a line end
-        at, item, place = self.hits(x)
-        if not len(at):
-            return []
-        doc = np.searchsorted(starts, at, "right") - 1
-        diagonal = at - starts[doc] - place
-        least = np.array([w[2] if w else 1 << 30 for w in self.windows])
-        # overlapping bands: every hit counts in the band of its diagonal and in the next lower one
-        step = 1 + max((w[1] for w in self.windows if w), default=0)
-        base = (doc * len(self.items) + item) * (1 << 32) + (diagonal + (1 << 31)) // step
-        key = np.concatenate([base, base - 1])
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(cut, len(key)))
-        who = order % len(at)
-        enough = size >= least[item[who[cut]]]
-        met: dict[tuple[int, int], dict[int, tuple[int, int, int]]] = {}
-        for c, n in zip(cut[enough].tolist(), size[enough].tolist()):
-            own = who[c : c + n]
-            d, i = int(doc[own[0]]), int(item[own[0]])
-            w, k, need, windows = self.windows[i]
-            p = np.sort(place[own])
-            lows = np.array(windows)
-            counts = np.searchsorted(p, lows + w - Q, "right") - np.searchsorted(p, lows)
-            for s in lows[counts >= need].tolist():
-                found = met.setdefault((d, i), {})
-                if found.get(s, (k + 1,))[0] == 0:
+        out = []
+        for own in self.grams:
+            met: dict[tuple[int, int], Met] = {}
+            waiting: list[tuple[Met, int, np.ndarray, np.ndarray, np.ndarray]] = []
+            held = 0
+            for d, i, band in self.bands(own, x, starts):
+                w, k, need, windows = self.windows[i]
+                pair = met.get((d, i))
+                if pair is None:
+                    pair = met[d, i] = Met(len(windows), k)
+                if not pair.open:
                     continue
-                inside = own[(place[own] >= s) & (place[own] <= s + w - Q)]
-                low = int(diagonal[inside].min())
-                high = int(diagonal[inside].max())
-                a, text = self.items[i][s : s + w], x[starts[d] : starts[d + 1] - 1]
-                best = k + 1
-                for g in (low, high):
-                    if g + s >= 0 and g + s + w <= len(text) and np.array_equal(text[g + s : g + s + w], a):
-                        best = 0
-                for g in range(low, high + 1, k + 1) if best else ():
-                    if best == 0:
-                        break
-                    left = g + s - k
-                    b = text[max(0, left) : g + s + w + k].astype(np.int16)
-                    if left < 0:
-                        b = np.concatenate([np.full(-left, 256, np.int16), b])
-                    best = min(best, banded_edits(a, b, k))
-                if best < found.get(s, (k + 1,))[0]:
-                    found[s] = (best, max(0, low + s), min(len(text), high + s + w))
-        return [(d, i, len(f), min(v[0] for v in f.values()), min(v[1] for v in f.values()), max(v[2] for v in f.values())) for (d, i), f in met.items() if f]
+                width = 2 * (k + 1)
+                low, text, a = band * (k + 1) - _MIDDLE, x[starts[d] : starts[d + 1] - 1], self.items[i]
+                for s in range(0, len(windows), SLICE // 8):
+                    part = a[s : s + SLICE // 8 + w - 1]
+                    b = np.full(len(part) + width, 256, np.int16)
+                    left = low + s  # the place in the text of the lowest diagonal
+                    inner = text[max(0, left) : max(0, left + len(b))]
+                    b[max(0, -left) : max(0, -left) + len(inner)] = inner
+                    same = np.cumsum(np.pad(sliding_window_view(b, len(part))[:width] == part, ((0, 0), (1, 0))), axis=1, dtype=np.int32)
+                    hits = np.concatenate([[0], np.cumsum((same[:, self.q[i] :] - same[:, : -self.q[i]] == self.q[i]).sum(0))])
+                    n = len(part) - w + 1
+                    exact = same[:, w:] - same[:, :n] == w
+                    for j in np.flatnonzero(exact.any(1)).tolist():
+                        pair.add(s + np.flatnonzero(exact[j]), 0, left + j - s, w, len(text))
+                    count = hits[w - self.q[i] + 1 :][:n] - hits[:n]
+                    todo = np.flatnonzero((count >= need) & (pair.edits[s : s + n] > 0))
+                    for u in range(0, len(todo), UNITS):
+                        some = todo[u : u + UNITS]
+                        waiting.append((pair, left - s, some + s, sliding_window_view(part, w)[some], sliding_window_view(b, w + width)[some], len(text)))
+                        held += len(some)
+                        if held >= UNITS:
+                            _align(waiting)
+                            waiting, held = [], 0
+            _align(waiting)
+            out += [(d, i, int((pair.edits <= pair.most).sum()), int(pair.edits.min()), pair.first, pair.last) for (d, i), pair in met.items() if pair.edits.min() <= pair.most]
+        for d, text in enumerate(texts) if self.short else ():
+            words, padded = text.split(b" "), b" " + text + b" "
+            for n in self.word_counts:
+                for key in self.short.keys() & {b" ".join(words[j : j + n]) for j in range(len(words) - n + 1)}:
+                    first, last = padded.find(b" " + key + b" "), padded.rfind(b" " + key + b" ") + len(key)
+                    out += [(d, i, 1, 0, first, last) for i in self.short[key]]
+        return out
+
+
+class Met:
+    """What is known of a document and an item: the fewest edits of each window."""
+
+    def __init__(self, windows: int, most: int):
+        self.edits, self.most, self.first, self.last = np.full(windows, most + 1, np.int16), most, 1 << 62, 0
+
+    @property
+    def open(self) -> bool:
+        """Whether a window may yet be met with fewer edits."""
+        return bool(self.edits.any())
+
+    def add(self, windows: np.ndarray, edits, diagonal: int, w: int, end: int) -> None:
+        fine = np.broadcast_to(edits, windows.shape) <= self.most
+        if fine.any():
+            windows, edits = windows[fine], np.broadcast_to(edits, fine.shape)[fine]
+            self.edits[windows] = np.minimum(self.edits[windows], edits)
+            self.first = min(self.first, max(0, int(windows[0]) + diagonal))
+            self.last = max(self.last, min(end, int(windows[-1]) + diagonal + w + self.most))
+
+
+def _align(waiting: list[tuple]) -> None:
+    """Align windows of one length and band width together."""
+    groups = defaultdict(list)
+    for x in waiting:
+        groups[x[3].shape[1], x[4].shape[1]].append(x)
+    for (w, n), rows in groups.items():
+        edits, _ = banded_edits(np.concatenate([r[3] for r in rows]), np.concatenate([r[4] for r in rows]), n - w)
+        at = 0
+        for pair, diagonal, windows, a, _, end in rows:
+            pair.add(windows, edits[at : at + len(a)], diagonal, w, end)
+            at += len(a)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", block_bytes: int = 4 << 20) -> DataFrame:
@@ -163,8 +247,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     (of the normal text).
 
     The items travel to the tasks as broadcasts of block_bytes of text each; a larger benchmark is taken block by block, one pass over the documents
-    for each, so memory is bounded for any size. No shuffle and no joins. Null and empty texts meet nothing; items of fewer than Q
-    characters in normal form are never met; equal items are all reported; repeated documents and null keys each get their own rows; other columns are left out.
+    for each, so memory is bounded for any size. No shuffle and no joins. Null and empty texts meet nothing; items of fewer than SHORT
+    characters in normal form are met word for word, null items and those without letters or digits never; equal items are all reported; repeated documents and null keys each get their own rows; other columns are left out.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -180,23 +264,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = Index([r[0] for r in held.value], [r[1] for r in held.value])
             for batch in batches:
-                at = 0
-                rows = batch.column(1).cast(pa.binary()).to_pylist()
-                keys = batch.column(0)
-                while at < len(rows):
-                    end, held_bytes = at, 0
-                    while end < len(rows) and held_bytes < 1 << 20:
-                        held_bytes += len(rows[end])
-                        end += 1
-                    found = index.matches(rows[at:end])
-                    if found:
-                        yield pa.RecordBatch.from_arrays(
-                            [keys.take(pa.array([at + m[0] for m in found])).cast(kinds[0]), pa.array([index.ids[m[1]] for m in found], kinds[1]), pa.array([m[2] for m in found], pa.int32()), pa.array([len(index.windows[m[1]][3]) for m in found], pa.int32()), pa.array([m[3] for m in found], pa.int32()), pa.array([m[4] for m in found], pa.int64()), pa.array([m[5] for m in found], pa.int64())],
-                            names=[key, item, "n_windows", "n_item_windows", "edits", "first_byte", "last_byte"],
-                        )
-                    at = end
-
-        return body.mapInArrow(run, schema)
+                for b in slices(batch, 1, 4096):
+                    found = index.matches(b.column(1).cast(pa.binary()).to_pylist())
+                    if not found:
+                        continue
+                    keys = b.column(0).take(pa.array([m[0] for m in found])).cast(kinds[0])
+                    items = pa.array([index.ids[m[1]] for m in found], kinds[1])
+                    of_item = pa.array([len(index.windows[m[1]][3]) for m in found], pa.int32())
+                    windows, edits, first, last = (pa.array([m[j] for m in found], t) for j, t in ((2, pa.int32()), (3, pa.int32()), (4, pa.int64()), (5, pa.int64())))
+                    yield pa.RecordBatch.from_arrays([keys, items, windows, of_item, edits, first, last], names=[key, item, "n_windows", "n_item_windows", "edits", "first_byte", "last_byte"])
+
+        return body.mapInArrow(tidy(run), schema)
 
     out = None
     for block in blocks_of(benchmark, item, item_text, block_bytes):
@@ -218,7 +296,11 @@ def blocks_of(benchmark: DataFrame, item: str, item_text: str, block_bytes: int)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", block_bytes: int = 4 << 20) -> DataFrame:
-    """docs without the rows that meet an item; one Arrow pass over all columns for each block of items."""
+    """docs without the rows that meet an item; one Arrow pass over all columns for each block of items.
+
+    Rows with null and empty texts stay, as do rows with a null key; repeated rows go or stay together; an empty table, or one of items, changes
+    nothing; all columns are kept. What meeting an item means is stated above and the same as in contaminated().
+    """
     spark = docs.sparkSession
     ship(spark)
     at_text = docs.columns.index(text)
@@ -229,12 +311,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = Index([r[0] for r in held.value], [r[1] for r in held.value])
             for batch in batches:
-                for at in range(0, batch.num_rows, 256):
-                    b = batch.slice(at, 256)
+                for b in slices(batch, at_text, 4096):
                     met = {m[0] for m in index.matches([t or b"" for t in b.column(at_text).cast(pa.binary()).to_pylist()])}
                     yield b.filter(pa.array([i not in met for i in range(b.num_rows)], pa.bool_()))
 
-        return rows.mapInArrow(run, rows.schema)
+        return rows.mapInArrow(tidy(run), rows.schema)
 
     for block in blocks_of(benchmark, item, item_text, block_bytes):
         docs = passed(docs, block)

@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from contigloom.llm.chunks import slices
 from contigloom.runtime import keep, ship, tidy
@@ -242,19 +243,18 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return model
 
 
-def calibrated(model: Model, docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", lang: str = "lang", least: int = 20, bins: int = 1000) -> Model:
+def calibrated(model: Model, scored: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", lang: str = "lang", score: str = "score", least: int = 20, bins: int = 1000) -> Model:
     """The model with a threshold for each language: of best F1 on all labelled rows outside the held-out fifth that the fit left out.
 
-    They are scored in one Arrow pass and counted by language, score in `bins` steps and class; the cut of best F1, in the middle of the widest gap of
-    scores, is found by windows over those counts, and one row per language reaches the driver. Languages with fewer than `least` such rows, or
-    without both classes, keep 0.5, as does a null language. Tables without the column get no thresholds.
+    scored has a row's key, language and score. Such rows are counted by language, score in `bins` steps and class; the cut of best F1, in the middle
+    of the widest gap of scores, is found by windows over those counts, and one row per language reaches the driver. Languages with fewer than
+    `least` such rows, or without both classes, keep 0.5, as does a null language. Tables without the column get no thresholds.
     """
-    if lang not in docs.columns:
+    if lang not in scored.columns:
         return model
     rest = learnable(labels, key, label).join(F.broadcast(model.fit_keys.select(key)), key, "left_anti")
-    named = docs.select(F.struct(key, lang).alias("_key"), F.col(text).alias("_text"), F.col(key).alias("_id")).filter(F.col(f"_key.{lang}").isNotNull())
-    rows = named.join(rest.withColumnRenamed(key, "_id"), "_id").select(F.struct(F.col(f"_key.{lang}").alias("lang"), F.col("_label").alias("label")).alias("_key"), "_text")
-    counts = score_texts(rows, model, "_key", "_text").groupBy(F.col("_key.lang").alias("lang"), F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).alias("bin")).agg(F.count("*").alias("n"), F.sum("_key.label").alias("toxic"))
+    rows = scored.select(key, F.col(lang).alias("_lang"), F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).alias("_bin")).filter("_lang is not null").join(rest, key)
+    counts = rows.groupBy(F.col("_lang").alias("lang"), F.col("_bin").alias("bin")).agg(F.count("*").alias("n"), F.sum("_label").alias("toxic"))
     own = Window.partitionBy("lang")
     above = own.orderBy(F.col("bin").desc())
     seen = counts.select("lang", "bin", F.lead("bin").over(above).alias("below"), F.sum("toxic").over(above).alias("caught"), F.sum("n").over(above).alias("called"), F.sum("toxic").over(own).alias("all"), F.sum("n").over(own).alias("rows"))
@@ -262,44 +262,46 @@ def calibrated(model: Model, docs: DataFrame, labels: DataFrame, key: str = "doc
     f1 = 2 * F.col("caught") / (F.col("called") + F.col("all"))
     cut = (F.col("bin") + F.coalesce("below", F.col("bin") - 1) + 1) / (2.0 * bins)
     best = seen.groupBy("lang").agg(F.max_by(cut, F.struct(f1, F.col("bin") - F.coalesce("below", "bin"), "bin")).alias("cut"))
-    model.thresholds = {r["lang"]: float(r["cut"]) for r in best.collect()}
-    return model
+    return replace(model, thresholds={r["lang"]: float(r["cut"]) for r in best.collect()})
 
 
-def score_texts(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key and score of every row's whole text; one Arrow pass, no shuffle. Null and empty texts get the score of no words."""
+def with_scores(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
+    """docs with a column of scores of the whole texts; one Arrow pass, no shuffle. Null and empty texts get the score of no words."""
     spark = docs.sparkSession
     ship(spark)
     held = spark.sparkContext.broadcast(model.plain())  # of a fixed size
-    kind = docs.schema[key].dataType.simpleString()
+    at_text, names = docs.columns.index(text), [*docs.columns, name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(held.value)
         for batch in batches:
-            for b in slices(batch, 1):
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scorer(b.column(1).cast(pa.binary()).to_pylist()), pa.float64())], names=[key, "score"])
+            for b in slices(batch, at_text):
+                scores = scorer([t or b"" for t in b.column(at_text).cast(pa.binary()).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], names=names)
 
-    return docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias(text)).mapInArrow(tidy(run), f"`{key}` {kind}, score double")
+    return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
-def reject(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
-    """docs without the rows whose score reaches the threshold of their language (0.5 for languages without one); one Arrow pass over all columns.
+def score_texts(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key and score of every row's whole text; see with_scores()."""
+    return with_scores(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), model, "_text").select(F.col("_key").alias(key), "score")
 
-    Null and empty texts get the score of no words; a null language has the threshold 0.5; repeated rows and null keys are judged like others, an empty
-    table stays empty; all columns are kept.
-    """
-    spark = docs.sparkSession
-    ship(spark)
-    held = spark.sparkContext.broadcast(model.plain())  # of a fixed size
-    at_text, at_lang = docs.columns.index(text), docs.columns.index(lang) if lang in docs.columns else None
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
-        scorer = Scorer(model)
-        for batch in batches:
-            for b in slices(batch, at_text):
-                scores = scorer([t or b"" for t in b.column(at_text).cast(pa.binary()).to_pylist()])
-                langs = b.column(at_lang).to_pylist() if at_lang is not None else [None] * b.num_rows
-                yield b.filter(pa.array([s < model.thresholds.get(g, 0.5) for s, g in zip(scores.tolist(), langs)], pa.bool_()))
+def reject(docs: DataFrame, model: Model, labels: DataFrame | None = None, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """docs without the rows whose score reaches the threshold of their language (0.5 for languages without one).
 
-    return docs.mapInArrow(tidy(run), docs.schema)
+    Given labels, all rows are scored once into a table in the shared folder, from which the thresholds are calibrated first. Null and empty texts get the score
+    of no words; a null language has the threshold 0.5; repeated rows and null keys are judged like others, an empty table stays empty; all columns are kept.
+    """
+    name = "_score"
+    while name in docs.columns:
+        name += "_"
+    scored = with_scores(docs, model, text, name)
+    if labels is not None:
+        scored = keep(scored, "scored")
+        model = calibrated(model, scored, labels, key=key, lang=lang, score=name)
+    limit = F.lit(0.5)
+    if model.thresholds and lang in docs.columns:
+        known = F.create_map(*(F.lit(x) for pair in sorted(model.thresholds.items()) for x in pair))
+        limit = F.coalesce(F.try_element_at(known, F.col(lang)), limit)
+    return scored.filter(F.col(name) < limit).select(docs.columns)

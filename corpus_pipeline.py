@@ -10,7 +10,7 @@ from contigloom.runtime import keep, scratch
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.reject(docs, toxicity.calibrated(toxicity.train(docs, labels), docs, labels))
+    return toxicity.reject(docs, toxicity.train(docs, labels), labels)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

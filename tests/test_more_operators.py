@@ -146,3 +146,17 @@ def test_scaffold_order_query_has_the_workflow_budget(spark, sf_dir, monkeypatch
     seen[0].apply_defaults()
     assert seen[0].arguments["budget"] == own.parameters["budget"].default == 100_000
     assert next(f.default for f in workflow.Options.__dataclass_fields__.values() if f.name == "budget") == 100_000
+
+
+def test_components_in_one_task_and_by_rounds(spark):
+    import numpy as np
+
+    from contigloom.operators import graph
+
+    rng = np.random.default_rng(8)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 400, (300, 2))] + [(500 + i, 501 + i) for i in range(60)] + [(7, None), (3, 3)]
+    for rows, kind in ((pairs, "long"), ([tuple(None if x is None else f"v{x}" for x in p) for p in pairs], "string")):
+        e = spark.createDataFrame(rows, f"a {kind}, b {kind}")
+        one, many = (sorted(map(tuple, graph.connected_components(e, local_arcs=n).collect())) for n in (1 << 20, 0))
+        assert one == many and len({v for v, _ in one}) == len(one)
+    assert graph.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0

@@ -2,8 +2,8 @@
 
 Each source serves its documents in the order of a hash, up to `most` times over. A copy's virtual finish time is the source's
 tokens up to its end divided by the source's target weight (its share of the budget), so all sources have spent their targets when the virtual
-clock has spent the budget. Copies are globally range-sorted by finish time and cut at that time: what began before it is
-taken, up to the word the budget ends at.
+clock has spent the budget. Copies are globally range-sorted by finish time and cut where the budget ends: what began before that is
+taken, up to the word the budget ends at, or, if only whole copies are taken, those that the budget holds in the order of their finish.
 """
 
 from __future__ import annotations
@@ -47,8 +47,12 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int
 
 
 def sized(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED) -> DataFrame:
-    """row, key, source, size and order of every row, as a table in the shared folder."""
-    return keep(docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).cast("long").alias("size"), F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("order")), "sized")
+    """row, key, source, size, order (60 bits of a hash of the key) and same (a hash of the text) of every row, as a table in the shared folder."""
+    name = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit("")))
+    order = F.conv(F.substring(F.md5(name.cast("binary")), 1, 15), 16, 10).cast("long")
+    size = n_words(F.col(text)).cast("long")
+    named = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(source).cast("string").alias("source"), size.alias("size"), order.alias("order"), F.xxhash64(text).alias("same"))
+    return keep(named, "sized")
 
 
 def mix(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3, whole: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -56,27 +60,41 @@ def mix(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3, wh
     (row, source, copy, finish, taken) in the order it is served, range-partitioned and sorted by finish.
 
     Totals before a document are summed in two steps, over buckets of the order and inside one bucket, so a source of a third of all
-    rows is spread over many tasks. Documents of size 0 are never taken; ties of the order go by key and row; a document
-    is taken most times at most; the copy that a source's target ends in is taken in part or, if whole, taken or left as a whole, whichever is nearer to the target.
+    rows is spread over many tasks. Documents of size 0 are never taken; ties of the order go by key, text and row; a document
+    is taken most times at most. At the time the budget is spent, each source is within one copy. That copy is taken in part or, if
+    whole, as a whole as long as the budget lasts, the copies that finish first before the others.
     """
     bits = max(6, math.ceil(math.log2(max(1, rows.count()) / BUCKET_ROWS + 1)))
     name = F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source"))
-    r = rows.filter("size > 0").withColumn("name", name).withColumn("bucket", F.shiftright("order", 64 - bits))
+    r = rows.filter("size > 0").withColumn("name", name).withColumn("bucket", F.shiftright("order", 60 - bits))
     sums = keep(r.groupBy("name", "source", "bucket").agg(F.sum("size").alias("n")), "bucket_sums")
     per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goal = keep(targets(per_source, weights, most), "targets")
     base = sums.withColumn("base", F.sum("n").over(Window.partitionBy("name").orderBy("bucket")) - F.col("n")).drop("n")
     base = base.join(F.broadcast(goal) if goal.count() <= 10_000 else goal, base["source"].eqNullSafe(goal["source"])).select("name", "bucket", "base", "source_size", "target")
-    inside = Window.partitionBy("name", "bucket").orderBy("order", "key", "row").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("name", "bucket").orderBy("order", "key", "same", "row").rowsBetween(Window.unboundedPreceding, -1)
     r = r.join(base, ["name", "bucket"]).withColumn("start", F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     copies = r.select("*", F.explode(F.sequence(F.lit(0), F.lit(most - 1))).alias("copy")).withColumn("start", F.col("start") + F.col("copy") * F.col("source_size"))
     served = copies.withColumn("taken", F.least(F.col("size"), F.round("target").cast("long") - F.col("start"))).filter("taken > 0")
+    served = served.withColumn("finish", (F.col("start") + F.col("size")) / F.col("target"))
     if whole:
-        served = served.filter(2 * F.col("taken") > F.col("size")).withColumn("taken", F.col("size"))
-    served = served.select("row", "source", "copy", ((F.col("start") + F.col("size")) / F.col("target")).alias("finish"), "taken", "order")
+        served = _whole(served)
+    served = served.select("row", "source", "copy", "finish", "taken", "order")
     return goal, served.repartitionByRange("finish", "order", "copy").sortWithinPartitions("finish", "order", "copy").drop("order")
 
 
+def _whole(served: DataFrame) -> DataFrame:
+    """The copies that the budget holds, as a whole. Those cut by the end of the budget are one for each source; what all sources have left for them is dealt to them in
+    the order of their finish, and the last is taken if more than half of it is held."""
+    cut = served.filter("taken < size")
+    by_finish = Window.orderBy("finish", "order", "copy", "row")
+    left = F.sum("taken").over(Window.partitionBy())
+    before = F.sum("size").over(by_finish) - F.col("size")
+    held = keep(cut.select("row", "copy", (2 * (left - before) > F.col("size")).alias("held")), "held")
+    out = served.join(F.broadcast(held) if held.count() <= 100_000 else held, ["row", "copy"], "left")
+    return out.filter((F.col("taken") == F.col("size")) | F.col("held")).withColumn("taken", F.col("size"))
+
+
 def mixed_sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """key, size, source_size, target and taken (words the mix takes, repeats counted) of every row.
 
@@ -102,11 +120,10 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
     rows = sized(docs, key, text, source)
     served = mix(rows, whole=whole)[1].select("row", "finish", "copy", "taken").join(rows, "row")
     # equal rows share the copies that the mix took of them
-    copies = served.select(F.col("key").alias("_key"), F.col("order").alias("_order"), F.col("source").alias("_source"), F.col("row").alias("_row"), F.col("finish").alias("_finish"), F.col("copy").alias("_copy"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
+    copies = served.select(F.col("key").alias("_key"), F.col("same").alias("_same"), F.col("source").alias("_source"), F.col("row").alias("_row"), F.col("finish").alias("_finish"), F.col("copy").alias("_copy"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
     copies = keep(copies, "mix")
-    repeated = rows.groupBy("key", "order", "source").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count() > 0
-    order = F.xxhash64(F.lit(SEED), F.col(key), F.col(text))
-    same = order.eqNullSafe(F.col("_order")) & F.col(key).eqNullSafe(F.col("_key")) & F.col(source).cast("string").eqNullSafe(F.col("_source"))
+    repeated = rows.groupBy("key", "same", "source").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count() > 0
+    same = F.xxhash64(text).eqNullSafe(F.col("_same")) & F.col(key).eqNullSafe(F.col("_key")) & F.col(source).cast("string").eqNullSafe(F.col("_source"))
     named = docs.dropDuplicates([key, text, source]) if repeated else docs
     out = named.join(copies.hint("merge"), same)
     if not whole:
@@ -116,3 +133,26 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
         if length in docs.columns:
             out = out.withColumn(length, F.length(text).cast(docs.schema[length].dataType))
     return out.repartitionByRange("_finish", "_row", "_copy").sortWithinPartitions("_finish", "_row", "_copy").select(docs.columns)
+
+
+#: The same in SQL: sizes, targets by the water level over caps divided by weights, and what up to three rounds over a source take.
+ORACLE = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, text,
+    CAST('0x' || substr(md5('17|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS ord
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3]::DOUBLE AS weight, source_size * 3.0::DOUBLE AS cap FROM s),
+l AS (
+  SELECT *, ((SELECT sum(source_size) FROM s)::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / weight, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+    / sum(weight) OVER (ORDER BY cap / weight, source IS NULL, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM w),
+g AS (SELECT source, source_size, least(cap, coalesce((SELECT arg_min(level, cap / weight) FROM l WHERE level * weight <= cap), 'inf'::DOUBLE) * weight) AS target FROM l),
+p AS (
+  SELECT d.doc_id, d.size, g.source_size, g.target, CAST(round(g.target) AS BIGINT) AS goal,
+    CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.ord, d.doc_id, d.text) - d.size AS BIGINT) AS start
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target,
+  CAST(greatest(0, least(size, goal - start)) + greatest(0, least(size, goal - start - source_size)) + greatest(0, least(size, goal - start - 2 * source_size)) AS BIGINT) AS taken
+FROM p
+"""

@@ -421,3 +421,21 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", broadc
     same = (F.col(key) == F.col("_gone")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("_copy"))
     out = rows.join(F.broadcast(gone) if n["drop"] * 64 <= broadcast_bytes else gone.hint("merge"), same, "left_anti")
     return (out.dropDuplicates([key]) if n["repeated"] else out).select(docs.columns)
+
+
+#: Components of links from 0.85 by a join of all shingles.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS t FROM documents),
+h AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(t) >= 5 THEN list_transform(range(1, len(t) - 3), lambda i: array_to_string(t[i:i + 4], ' ')) WHEN len(t) > 0 THEN [array_to_string(t, ' ')] ELSE [] END) AS s
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM h GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM h a JOIN h b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM pairs JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, w.doc_id = c.component_id AS kept
+FROM w JOIN c ON c.x = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
+"""

@@ -78,4 +78,7 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op1_license_scan": licenses.ORACLE,
+    "op6_fair_mix": fair_mix.ORACLE,
+    "op7_voronoi_knn": voronoi_knn.ORACLE,
+    "op9_near_dedup": near_dedup.ORACLE,
 }

@@ -182,3 +182,24 @@ def test_slices_cover_a_batch():
     parts = list(chunks.slices(b, 0, 3, 1000))
     assert [x for p in parts for x in p.column(0).to_pylist()] == b.column(0).to_pylist() and max(p.num_rows for p in parts) <= 3
     assert zlib.crc32(b"") == 0 and list(chunks.slices(b.slice(0, 0), 0)) == []
+
+
+def test_whole_documents_of_the_mix(spark):
+    """Whole copies only, each source within a document of its target, the budget met as nearly, served in the order of finish times, keys that are null or repeat told apart."""
+    from contigloom.llm import fair_mix
+
+    rng = np.random.default_rng(6)
+    rows = [(None if i % 50 == 0 else i // 2, " ".join(f"w{x}" for x in rng.integers(0, 90, int(rng.integers(0, 60)))) or None, ["a", "b", None, "c"][min(3, i % 7)]) for i in range(500)]
+    rows += [rows[3], rows[3]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = [tuple(r) for r in fair_mix.mixed_documents(docs, whole=True).collect()]
+    assert set(out) <= set(rows) and all(t for _, t, _ in out)
+    goal, sequence = fair_mix.mix(fair_mix.sized(docs), whole=True)
+    target = {r["source"]: r["target"] for r in goal.collect()}
+    served = sequence.collect()
+    assert [r["finish"] for r in served] == sorted(r["finish"] for r in served)
+    total = {s: sum(r["taken"] for r in served if r["source"] == s) for s in target}
+    assert all(abs(total[s] - target[s]) <= 60 for s in target) and abs(sum(total.values()) - sum(target.values())) <= 60
+    words = {s: sum(len(t.split()) for _, t, x in out if x == s) for s in target}
+    assert words == total
+    assert max(out.count(r) / rows.count(r) for r in set(out)) <= 3

@@ -51,3 +51,20 @@ def test_small_blocks_and_repeated_queries(spark, monkeypatch):
     want = brute(rows, lambda i: i % 7 == 0)
     for _ in range(2):
         assert sorted(map(tuple, voronoi_knn.top_k(d, lambda c: c % 7 == 0).collect())) == want
+
+
+def test_queries_match_their_sql(spark):
+    import duckdb
+
+    from contigloom.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    c = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    for name in ("op6_fair_mix", "op7_voronoi_knn", "op9_near_dedup"):
+        cur = c.execute(queries.ORACLES[name])
+        names = [x[0] for x in cur.description]
+        df = queries.QUERIES[name](spark, sf)
+        assert sorted(df.columns) == sorted(names)
+        assert sorted((tuple(r[n] for n in names) for r in df.collect()), key=str) == sorted(cur.fetchall(), key=str)

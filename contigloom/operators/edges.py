@@ -245,3 +245,16 @@ def extract_species_edges(edges: DataFrame, members: DataFrame, id: str = "conti
     e = edges.join(fine.withColumnRenamed(id, "c1"), "c1", "left_semi").join(fine.withColumnRenamed(id, "c2"), "c2", "left_semi")
     ok = F.when(F.col("rescued"), F.col("support") == 1).otherwise(F.col("support") >= 2) if "rescued" in edges.columns else F.col("support") >= 2
     return e.filter(ok).withColumn("stratum", distance_bucket(F.col("dist")))
+
+
+def cross_cluster_short_edges(edges: DataFrame, clusters: DataFrame, id: str = "contig", cluster: str = "cluster", most: int = 500, min_support: int = 5) -> DataFrame:
+    """Well supported short edges (|dist| <= most) between different clusters: the edge's columns, cluster1, cluster2 and pair, both clusters in order."""
+    a, b = (clusters.select(F.col(id).alias(f"c{i}"), F.col(cluster).alias(f"cluster{i}")) for i in (1, 2))
+    e = edges.join(a, "c1").join(b, "c2").filter("cluster1 <> cluster2").filter((F.abs("dist") <= most) & (F.col("support") >= min_support))
+    return e.withColumn("pair", edge_id(F.col("cluster1"), F.col("cluster2")))
+
+
+def dynamic_min_contig(means: list[float], default: int = 500, most: int = 2000) -> int:
+    """Least contig length for libraries of these mean distances: twice the smallest mean where that is between the default and most, else the default."""
+    twice = 2 * min(means, default=0)
+    return int(twice) if default < twice < most else default

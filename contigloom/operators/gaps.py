@@ -107,3 +107,14 @@ def sketch_distances(queries: DataFrame, references: DataFrame, k: int = 21, siz
 def names_by_accession(accessions: DataFrame, catalog: DataFrame, key: str = "accession") -> tuple[DataFrame, DataFrame]:
     """(accessions with their catalog row, accessions that the catalog lacks)."""
     return accessions.join(catalog, key), accessions.join(catalog.select(key), key, "left_anti")
+
+
+def sharded_sketch_distances(queries: DataFrame, references: DataFrame, shards: int, k: int = 21, size: int = 1000, id: str = "id") -> DataFrame:
+    """sketch_distances() shard by shard of the references, united; the queries are dealt once by hash and meet every shard. Bounds the join's state
+    where references share most of their hashes; the result is that of one join."""
+    part = F.pmod(F.xxhash64(id), F.lit(shards))
+    out = None
+    for i in range(shards):
+        found = sketch_distances(queries, references.filter(part == i), k, size, id)
+        out = found if out is None else out.unionByName(found)
+    return out

@@ -269,3 +269,9 @@ def sorted_scaffolds(scaffolds: DataFrame, scaffold: str = "scaffold") -> DataFr
     """scaffold, number (1 for the longest), length and n: total of lengths and gaps; equal lengths go by name."""
     sums = scaffolds.groupBy(scaffold).agg(F.sum(F.col("length") + F.coalesce("gap", F.lit(0))).cast("long").alias("length"), F.count("*").alias("n"))
     return numbered(sums, [F.col("length").desc(), scaffold]).withColumn("number", F.col("number").cast("int"))
+
+
+def fillable(scaffolds: DataFrame, scaffold: str = "scaffold", min_len: int = 499) -> DataFrame:
+    """scaffold, n and total_len of scaffolds with gaps to fill: more than one contig, longer than min_len."""
+    sums = scaffolds.groupBy(scaffold).agg(F.count("*").alias("n"), F.sum("length").cast("long").alias("total_len"))
+    return sums.filter((F.col("n") > 1) & (F.col("total_len") > min_len))

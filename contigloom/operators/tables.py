@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contigloom.operators.grouped import numbered
-from contigloom.operators.stats import nx_lx, top_within
+from contigloom.operators.grouped import map_groups, numbered
+from contigloom.operators.stats import nx_lx, top_within, unseen
 
 
 def top_references(dist: DataFrame, query: str = "query", ref: str = "ref", d: str = "dist", k: int = 5, ignore: DataFrame | None = None) -> DataFrame:
@@ -144,7 +144,7 @@ def lineage_nodes(lineages: DataFrame, lineage: str = "lineage") -> DataFrame:
     parts = F.split(lineage, ";")
     prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.struct(F.array_join(F.slice(parts, F.lit(1), i), ";").alias("path"), F.get(parts, i - 1).alias("name"), i.alias("depth")))
     nodes = lineages.select(F.explode(prefixes).alias("n")).select("n.*").distinct()
-    ids = nodes.withColumn("id", F.row_number().over(Window.orderBy("depth", "path")) + 1)
+    ids = numbered(nodes, ["depth", "path"], "id").withColumn("id", (F.col("id") + 1).cast("int"))
     up = ids.select(F.col("path").alias("_up"), F.col("id").alias("parent"))
     head = F.expr("substring_index(path, ';', depth - 1)")
     return ids.withColumn("_up", head).join(up, "_up", "left").select("id", F.coalesce("parent", F.lit(1)).alias("parent"), "name", "depth")
@@ -165,6 +165,45 @@ def size_bounded_files(df: DataFrame, by: list[str], order: list, size: str, cap
     return df.withColumn("file", F.greatest(F.floor(before / cap), F.floor((F.row_number().over(w) - 1) / most)).cast("long"))
 
 
+def packed_files(df: DataFrame, by: list[str], order: list[str], size: str, cap: int, most: int = 300_000) -> DataFrame:
+    """df with file: rows in order are added to a file until its size has passed the cap or it has most rows; then the next begins at zero. Inside the groups of by,
+    each of which one task walks through; a null size counts as 0."""
+    kinds = dict(df.dtypes)
+    names = df.columns
+
+    def run(keys: tuple, rows: dict) -> list[tuple]:
+        out, held, n, file = [], 0, 0, 0
+        for x in rows[size].tolist():
+            out.append(file)
+            held, n = held + (0 if x is None or x != x else x), n + 1
+            if held > cap or n >= most:
+                held, n, file = 0, 0, file + 1
+        return list(zip(*(rows[c].tolist() for c in names), out))
+
+    return map_groups(df, by, order, run, ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", file long")
+
+
+def without_any(df: DataFrame, column: str, words: list[str]) -> DataFrame:
+    """Rows whose text holds none of the words; null texts hold none."""
+    hit = F.lit(False)
+    for w in words:
+        hit = hit | F.contains(F.col(column), F.lit(w))
+    return df.filter(~F.coalesce(hit, F.lit(False)))
+
+
+def read_statistics(spark: SparkSession, libraries: list[tuple[str, str]], path: str) -> DataFrame:
+    """sample, n_reads, bases and mean length of FASTQ libraries (sample, file), kept as a Parquet table: only samples that it lacks are read and appended."""
+    from contigloom.sources.readers import read_fastq
+
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    exists = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    config = spark.createDataFrame(libraries, "sample string, file string").dropDuplicates(["sample"])
+    for r in unseen(config, spark.read.parquet(path), "sample").collect() if exists else config.collect():  # a row for each library
+        sums = read_fastq(spark, r["file"]).agg(F.count("*").alias("n_reads"), F.sum("length").cast("long").alias("bases"), F.avg("length").alias("mean"))
+        sums.select(F.lit(r["sample"]).alias("sample"), "*").write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
 def per_base_quality(rows: DataFrame, contig: str, start: str, seq: str, ref: str, qual: str) -> DataFrame:
     """contig, pos, quality: mean quality of the aligned bases that match the reference (seq, ref and qual are aligned texts of one length, phred+33)."""
     at = rows.select(contig, start, F.posexplode(F.split(seq, "")).alias("i", "s"), ref, qual)

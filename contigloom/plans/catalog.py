@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from contigloom.plans import flat, solved
+from contigloom.plans import files, flat, solved
 
-QUERIES: dict = {**flat.QUERIES, **solved.QUERIES}
-ORACLES: dict = {**flat.ORACLES, **solved.ORACLES}
+QUERIES: dict = {**flat.QUERIES, **files.QUERIES, **solved.QUERIES}
+ORACLES: dict = {**flat.ORACLES, **files.ORACLES, **solved.ORACLES}
 FLAGSHIP = "final_cluster_table"

@@ -22,6 +22,23 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return raw.join(parts, ["file", "_part"]).select("file", (F.col("_before") + F.col("_id") - F.col("_first")).alias("line"), "value")
 
 
+#: Lines that one window of filled() holds.
+FILL_LINES = 20_000
+
+
+def filled(lines: DataFrame, name: Column) -> DataFrame:
+    """numbered_lines() with header: the last value of name (null on other lines) at or above a line.
+
+    Blocks of FILL_LINES lines are filled by themselves; what a block begins with comes from a window over one row for each block of a file.
+    """
+    rows = lines.withColumn("_block", F.floor(F.col("line") / FILL_LINES)).withColumn("_name", name)
+    last = rows.groupBy("file", "_block").agg(F.max_by("_name", F.when(F.col("_name").isNotNull(), F.col("line"))).alias("_last"))
+    above = F.last("_last", ignorenulls=True).over(Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    inside = F.last("_name", ignorenulls=True).over(Window.partitionBy("file", "_block").orderBy("line").rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.join(last.select("file", "_block", above.alias("_above")), ["file", "_block"]).withColumn("header", F.coalesce(inside, "_above"))
+    return rows.drop("_block", "_name", "_above")
+
+
 #: How each assembler's header gives coverage: flavour -> column of the header text.
 FLAVOURS = {
     "plain": lambda h: F.lit(1.0),
@@ -171,26 +188,37 @@ def read_windowed_coverage(spark: SparkSession, path: str) -> DataFrame:
     return r.withColumn("sample", F.row_number().over(Window.partitionBy("file", "id").orderBy("rec")) - 1).drop("file", "rec")
 
 
+def with_coverage(contigs: DataFrame, coverage: DataFrame, id: str = "id", whole: bool = True) -> DataFrame:
+    """contigs with the coverage of a table (contig, coverage) where it has one; whole cuts it to an integer, as the scaffolder reads it."""
+    c = F.col("_cov").cast("int").cast("double") if whole else F.col("_cov")
+    rows = contigs.join(coverage.select(F.col("contig").alias(id), F.col("coverage").alias("_cov")), id, "left")
+    return rows.withColumn("coverage", F.coalesce(c, "coverage")).drop("_cov")
+
+
 def read_coverage(spark: SparkSession, path: str) -> DataFrame:
     """contig, length, coverage (header skipped; fractions kept)."""
     return _tsv(spark, path, "contig string, length int, coverage double", header=True)
 
 
+def _headed(spark: SparkSession, path: str) -> DataFrame:
+    """file, line, value and header (the text up to a space of the last line that starts with '>') of all other lines that are not empty."""
+    is_header = F.startswith("value", F.lit(">"))
+    rows = filled(numbered_lines(spark, path), F.when(is_header, F.regexp_extract("value", r"^>(\S+)", 1)))
+    return rows.filter(~is_header & (F.trim("value") != ""))
+
+
 def read_scaffolds(spark: SparkSession, path: str) -> DataFrame:
     """scaffold, pos, contig, ori, length, gap: header lines start with '>', children follow with BE or EB."""
-    w = Window.partitionBy("file").orderBy("line")
-    n = numbered_lines(spark, path)
-    name = F.when(F.startswith("value", F.lit(">")), F.regexp_extract("value", r"^>(\S+)", 1))
-    filled = n.withColumn("scaffold", F.last(name, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).filter(~F.startswith("value", F.lit(">")) & (F.trim("value") != ""))
     f = F.split("value", "\t")
-    return filled.select("scaffold", F.row_number().over(Window.partitionBy("file", "scaffold").orderBy("line")).alias("pos"), F.get(f, F.lit(0)).alias("contig"), F.when(F.get(f, F.lit(1)) == "BE", "+").when(F.get(f, F.lit(1)) == "EB", "-").alias("ori"), F.get(f, F.lit(2)).try_cast("int").alias("length"), F.get(f, F.lit(3)).try_cast("int").alias("gap"))
+    pos = F.row_number().over(Window.partitionBy("file", "header").orderBy("line"))
+    ori = F.when(F.get(f, F.lit(1)) == "BE", "+").when(F.get(f, F.lit(1)) == "EB", "-")
+    rows = _headed(spark, path)
+    return rows.select(F.col("header").alias("scaffold"), pos.alias("pos"), F.get(f, F.lit(0)).alias("contig"), ori.alias("ori"), F.get(f, F.lit(2)).try_cast("int").alias("length"), F.get(f, F.lit(3)).try_cast("int").alias("gap"))
 
 
 def read_ranked_references(spark: SparkSession, path: str) -> DataFrame:
     """cluster and refs in order; clusters start with '>'; the last one counts too."""
-    w = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    n = numbered_lines(spark, path).withColumn("cluster", F.last(F.when(F.startswith("value", F.lit(">")), F.regexp_extract("value", r"^>(\S+)", 1)), ignorenulls=True).over(w))
-    rows = n.filter(~F.startswith("value", F.lit(">")) & (F.trim("value") != ""))
+    rows = _headed(spark, path).withColumnRenamed("header", "cluster")
     refs = rows.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("file", "line", F.trim("value").alias("ref")))).alias("r"))
     return refs.select("cluster", F.transform("r", lambda x: x["ref"]).alias("refs"))
 
@@ -233,11 +261,29 @@ def read_bin_evaluation(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_library_stats(spark: SparkSession, path: str) -> DataFrame:
-    """mean, std and orientation from the prose of a library file, in one row."""
-    text = F.array_join(F.array_sort(F.collect_list("value")), "\n")
-    one = spark.read.text(path).agg(text.alias("t"))
-    pick = lambda p, t: F.regexp_extract("t", p, 1).try_cast(t)
-    return one.select(pick(r"(?i)mean[^0-9\n]*?(\d+)", "int").alias("mean"), pick(r"(?i)(?:std|standard deviation)[^0-9\n]*?(\d+)", "int").alias("std"), F.regexp_extract("t", r"(?i)orientation[^\n]*?\b(in|out|forward)\b", 1).alias("ori"))
+    """mean, std and orientation from the prose of library files, one row for each file: of every figure, the first line that gives it."""
+    patterns = {"mean": r"(?i)mean[^0-9]*?(\d+)", "std": r"(?i)(?:std|standard deviation)[^0-9]*?(\d+)", "ori": r"(?i)orientation.*?\b(in|out|forward)\b"}
+    found = {n: F.nullif(F.regexp_extract("value", p, 1), F.lit("")) for n, p in patterns.items()}
+    first = [F.min_by(F.when(c.isNotNull(), c), F.when(c.isNotNull(), F.col("line"))).alias(n) for n, c in found.items()]
+    rows = numbered_lines(spark, path).groupBy("file").agg(*first)
+    return rows.select(F.col("mean").try_cast("int").alias("mean"), F.col("std").try_cast("int").alias("std"), "ori")
+
+
+def first_reads_size(spark: SparkSession, path: str, reads: int = 1000) -> int:
+    """Largest length among the first reads of a FASTQ file; 0 for an empty one. Only lines of those reads pass the filter."""
+    rows = numbered_lines(spark, path).filter((F.col("line") < 4 * reads) & (F.col("line") % 4 == 1))
+    return rows.agg(F.coalesce(F.max(F.length("value")), F.lit(0))).first()[0]
+
+
+def kmer_size(spark: SparkSession, contigs: str, flavour: str) -> int | None:
+    """The k-mer size that an assembler left beside its contigs: third field of LastGraph's first line (velvet), fourth of <prefix>.preGraphBasic (soap). None without such a file."""
+    folder, _, name = contigs.rpartition("/")
+    side, sep, at = ("LastGraph", "\t", 2) if flavour == "velvet" else (name.split(".")[0] + ".preGraphBasic", " ", 3)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{side}" if folder else side)
+    if flavour not in ("velvet", "soap", "soap_contig") or not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return None
+    fields = (spark.read.text(path.toString()).limit(1).collect() or [[""]])[0][0].split(sep)
+    return int(fields[at]) if len(fields) > at and fields[at].isdigit() else None
 
 
 def read_taxonomy(spark: SparkSession, path: str, prefix: int = 3) -> DataFrame:
@@ -247,11 +293,12 @@ def read_taxonomy(spark: SparkSession, path: str, prefix: int = 3) -> DataFrame:
     return t.select("seqid", F.expr(f"substring(seqid, {prefix + 1})").alias("genome"), "lineage", F.regexp_replace(F.regexp_replace(F.get(species, F.lit(0)), "^s__", ""), " ", "_").alias("species"))
 
 
-def read_bins(spark: SparkSession, path: str) -> DataFrame:
-    """bin and contig: one FASTA file per bin; the bin is the file's name without its last extension."""
+def read_bins(spark: SparkSession, path: str, folders: bool = False) -> DataFrame:
+    """bin and contig: one FASTA file per bin, named by the file without its last extension; or, with folders, one folder per bin ('bin' or 'key=bin')."""
     from contigloom.functions.sequence import bin_of
 
-    return read_fasta(spark, path).select(bin_of(F.col("file")).alias("bin"), F.col("id").alias("contig"), "length")
+    own = F.regexp_extract("file", r"([^/=]+)/[^/]*$", 1) if folders else bin_of(F.col("file"))
+    return read_fasta(spark, path).select(own.alias("bin"), F.col("id").alias("contig"), "length")
 
 
 def genome_catalog(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +19,11 @@ def _keys(df: DataFrame, cols: list[str]) -> str:
     return ", ".join(f"`{c}` {kinds[c]}" for c in cols)
 
 
+def _whole(x: float) -> int:
+    """The nearest whole number, halves up; what the last digits of a sum of floats say does not count."""
+    return math.floor(round(float(x), 6) + 0.5)
+
+
 def bundle_pairs(pairs: DataFrame, n_sd: int = 6, by: list[str] | None = None) -> DataFrame:
     """Bundles around medians: while edges are left, those within n_sd deviations of the median edge form a bundle with their inverse-variance
     mean and deviation (rounded, at least 1).
@@ -32,7 +39,7 @@ def bundle_pairs(pairs: DataFrame, n_sd: int = 6, by: list[str] | None = None) -
             reach = n_sd * s[mid]
             inside = (d >= d[mid] - reach) & (d <= d[mid] + reach)
             w = 1 / s[inside] ** 2
-            out.append((*keys, len(out) + 1, int(np.floor((d[inside] * w).sum() / w.sum() + 0.5)), max(1, int(1 / np.sqrt(w.sum()) + 0.5)), int(inside.sum())))
+            out.append((*keys, len(out) + 1, _whole((d[inside] * w).sum() / w.sum()), max(1, int(1 / np.sqrt(w.sum()) + 0.5)), int(inside.sum())))
             d, s = d[~inside], s[~inside]
         return out
 
@@ -91,7 +98,7 @@ def super_bundles(edges: DataFrame, n_sd: int = 6, min_size: int = 5, ploidy: in
             size = n[inside].sum()
             if size >= min_size and (free or (size > total / 2 and (ploidy == 1 or size == total))):
                 w = 1 / s[inside] ** 2  # the size cancels from weight and variance
-                out.append((*keys, int((d[inside] * w).sum() / w.sum() + 0.5), max(1, int(1 / np.sqrt(w.sum()) + 0.5)), int(size), int(inside.sum())))
+                out.append((*keys, _whole((d[inside] * w).sum() / w.sum()), max(1, int(1 / np.sqrt(w.sum()) + 0.5)), int(size), int(inside.sum())))
             d, s, n = d[~inside], s[~inside], n[~inside]
         return out
 
@@ -121,22 +128,23 @@ def correct_gap(edges: DataFrame, lib_mean: float, lib_std: float, read: int, le
     steps = np.array(sorted(lengths))
     tables = {int(x): gap_table(lib_mean, lib_std, int(x), read, longest) for x in steps}
 
+    for x, t in tables.items():
+        tables[x] = np.maximum.accumulate(t[~np.isnan(t)])
+
+    def found(d: np.ndarray, t: np.ndarray) -> np.ndarray:
+        if not len(t):
+            return d.astype(np.int64)
+        lo, hi = np.searchsorted(t, d, "left"), np.searchsorted(t, d, "right")
+        below, above = np.clip(lo - 1, 0, len(t) - 1), np.clip(lo, 0, len(t) - 1)
+        near = np.where(np.abs(t[below] - d) <= np.abs(t[above] - d), below, above)
+        return np.where(hi > lo, ((lo + hi - 1) / 2 + 0.5).astype(np.int64), near)
+
     def look(batches):
         for pdf in batches:
-            out = []
-            for d, length in zip(pdf["dist"].astype(float), pdf["min_len"].astype(float)):
-                t = tables[int(steps[min(np.searchsorted(steps, length), len(steps) - 1)])]
-                t = t[~np.isnan(t)]
-                if not len(t):
-                    out.append(int(d))
-                    continue
-                t = np.maximum.accumulate(t)
-                lo, hi = np.searchsorted(t, d, "left"), np.searchsorted(t, d, "right")
-                if hi > lo:
-                    out.append(int((lo + hi - 1) / 2 + 0.5))
-                else:
-                    near = [i for i in (lo - 1, lo) if 0 <= i < len(t)]
-                    out.append(int(min(near, key=lambda i: (abs(t[i] - d), i))))
+            d, step = pdf["dist"].to_numpy(float), np.minimum(np.searchsorted(steps, pdf["min_len"].to_numpy(float)), len(steps) - 1)
+            out = np.zeros(len(pdf), np.int64)
+            for i in np.unique(step).tolist():
+                out[step == i] = found(d[step == i], tables[int(steps[i])])
             yield pdf.assign(real_gap=out)
 
     return edges.mapInPandas(look, f"{_keys(edges, edges.columns)}, real_gap long")

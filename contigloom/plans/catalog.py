@@ -6,4 +6,5 @@ from contigloom.plans import files, flat, solved
 
 QUERIES: dict = {**flat.QUERIES, **files.QUERIES, **solved.QUERIES}
 ORACLES: dict = {**flat.ORACLES, **files.ORACLES, **solved.ORACLES}
+FOLD_ORACLES: dict = solved.FOLDS
 FLAGSHIP = "final_cluster_table"

@@ -262,11 +262,11 @@ def top5_references(spark, sf):
     return tables.top_references(both)
 
 
-@query(f"""WITH {t.DISTANCES}, d AS (SELECT b AS query, a AS ref, dist FROM dists WHERE a % 3 = 0 AND dist < 0.9), q AS (SELECT vec_id AS query FROM embeddings),
+@query(f"""WITH {t.DISTANCES}, d AS (SELECT b AS query, a AS ref, dist FROM dists WHERE dist < 0.9), q AS (SELECT vec_id AS query FROM embeddings),
 h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY dist, ref) AS rn FROM d) WHERE rn = 1)
 SELECT q.query, coalesce(CAST(ref AS VARCHAR), 'UNKNOWN') AS ref, coalesce(dist, 1) AS dist, coalesce(dist, 1) < 0.5 AS near FROM q LEFT JOIN h ON q.query = h.query""")
 def best_hit(spark, sf):
-    d = t.vector_distances(spark, sf).filter("a % 3 = 0 and dist < 0.9").select(F.col("b").alias("query"), F.col("a").alias("ref"), "dist")
+    d = t.vector_distances(spark, sf).filter("dist < 0.9").select(F.col("b").alias("query"), F.col("a").alias("ref"), "dist")
     q = t.table(spark, sf, "embeddings").select(F.col("vec_id").alias("query"))
     hit = d.groupBy("query").agg(F.min_by(F.struct(F.col("ref").cast("string").alias("ref"), "dist"), F.struct("dist", "ref")).alias("h")).select("query", "h.ref", "h.dist")
     return tables.best_hit(hit, q, cutoff=0.5)
@@ -279,20 +279,21 @@ def shared_reference_pairs(spark, sf):
 
 @query("""SELECT s_suppkey AS contig, s_nationkey AS cluster, coalesce(CASE WHEN n_regionkey < 3 THEN n_regionkey * 1000 END, s_nationkey)::INT AS super_cluster FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""")
 def label_propagation(spark, sf):
-    supers = t.table(spark, sf, "nation").filter("n_regionkey < 3").select(F.col("n_nationkey").alias("cluster"), (F.col("n_regionkey") * 1000).alias("super_cluster"))
+    supers = t.table(spark, sf, "nation").select(F.col("n_nationkey").alias("cluster"), F.when(F.col("n_regionkey") < 3, F.col("n_regionkey") * 1000).alias("super_cluster"))
     members = t.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("contig"), F.col("s_nationkey").alias("cluster"))
     return trees.relabel(members, supers).select("contig", "cluster", "super_cluster")
 
 
-ABUNDANCE = """p AS (SELECT source AS name, lang, 100.0 * sum(n_chars) / sum(sum(n_chars)) OVER (PARTITION BY lang) AS pct FROM documents GROUP BY 1, 2),
-x AS (SELECT name, pct FROM p WHERE lang = 'en' AND pct > 4.5), y AS (SELECT name, pct FROM p WHERE lang = 'fr' AND pct > 4.5),
+ABUNDANCE = """p AS (SELECT source AS name, coalesce(lang IN ('en', 'de'), false) AS side, 100.0 * sum(n_chars) / sum(sum(n_chars)) OVER (PARTITION BY coalesce(lang IN ('en', 'de'), false)) AS pct FROM documents GROUP BY 1, 2),
+x AS (SELECT name, pct FROM p WHERE side AND pct > 4.5), y AS (SELECT name, pct FROM p WHERE NOT side AND pct > 4.5),
 j AS (SELECT coalesce(x.name, y.name) AS name, coalesce(x.pct, 0)::DOUBLE AS a_pct, coalesce(y.pct, 0)::DOUBLE AS b_pct FROM x FULL JOIN y ON x.name = y.name)"""
 
 
 def _abundance(spark, sf):
-    p = t.table(spark, sf, "documents").groupBy(F.col("source").alias("name"), "lang").agg(F.sum("n_chars").alias("k"))
-    p = p.withColumn("pct", 100.0 * F.col("k") / F.sum("k").over(Window.partitionBy("lang")))
-    return tables.concordance(p.filter("lang = 'en'"), p.filter("lang = 'fr'"), min_pct=4.5)
+    side = F.coalesce(F.col("lang").isin("en", "de"), F.lit(False)).alias("side")
+    p = t.table(spark, sf, "documents").groupBy(F.col("source").alias("name"), side).agg(F.sum("n_chars").alias("k"))
+    p = p.withColumn("pct", 100.0 * F.col("k") / F.sum("k").over(Window.partitionBy("side")))
+    return tables.concordance(p.filter("side"), p.filter(~F.col("side")), min_pct=4.5)
 
 
 @query(f"WITH {ABUNDANCE} SELECT name, round(a_pct, 6) AS a_pct, round(b_pct, 6) AS b_pct FROM j")
@@ -320,11 +321,11 @@ def quality_tiers(spark, sf):
 
 
 @query(f"""WITH {TIERS}, m AS (SELECT bin AS mag, tier FROM tiers WHERE tier <> 'LOW'), {t.DISTANCES},
-h AS (SELECT b % 97 AS mag, min(dist) FILTER (a % 2 = 0) AS tax_dist, min(dist) FILTER (a % 2 = 1) AS novel_dist FROM dists WHERE label < 5 GROUP BY 1)
+h AS (SELECT b % 97 AS mag, min(dist) FILTER (a % 2 = 0) AS tax_dist, min(dist) FILTER (a % 2 = 1) AS novel_dist FROM dists GROUP BY 1)
 SELECT m.mag, tier, tax_dist, novel_dist, CASE WHEN tax_dist IS NULL AND novel_dist IS NULL THEN 'NO_REF' WHEN tax_dist <= 0.2 THEN 'KNOWN' WHEN novel_dist <= 0.2 THEN 'SEEN' ELSE 'NOVEL' END AS status FROM m LEFT JOIN h ON m.mag = h.mag""")
 def novelty_status(spark, sf):
     mags = _tiers(spark, sf).filter("tier <> 'LOW'").withColumnRenamed("bin", "mag")
-    d = t.vector_distances(spark, sf).filter("label < 5").withColumn("mag", F.col("b") % 97)
+    d = t.vector_distances(spark, sf).withColumn("mag", F.col("b") % 97)
     return tables.novelty(mags, d.filter("a % 2 = 0"), d.filter("a % 2 = 1"), cutoff=0.2).select("mag", "tier", "tax_dist", "novel_dist", "status")
 
 
@@ -429,10 +430,10 @@ def outlier_fraction(spark, sf):
     return cv.outlier_fraction(t.parts(spark, sf), "cluster", "length", "coverage", 1.2).withColumns({"mean_cov": F.round("mean_cov", 6), "fraction": F.round("fraction", 6)})
 
 
-@query("""WITH d AS (SELECT doc_id, translate(upper(left(regexp_replace(text, '[^a-zA-Z]', '', 'g'), 200)), 'EIOPQFJLXZ', 'ACGTNACGTN') AS seq FROM documents)
+@query("""WITH d AS (SELECT doc_id, translate(upper(regexp_replace(text, '[^a-zA-Z]', '', 'g')), 'EIOPQFJLXZ', 'ACGTNACGTN') AS seq FROM documents)
 SELECT doc_id, seq, reverse(translate(seq, 'ACGTUMRWSYKVHDBN', 'TGCAAKYWSRMBDHVN')) AS rc, reverse(translate(regexp_replace(seq, '[^ACGT]', 'N', 'g'), 'ACGT', 'TGCA')) AS rc_upper FROM d""")
 def reverse_complement(spark, sf):
-    seq = F.translate(F.upper(F.left(F.regexp_replace("text", "[^a-zA-Z]", ""), F.lit(200))), "EIOPQFJLXZ", "ACGTNACGTN")
+    seq = F.translate(F.upper(F.regexp_replace("text", "[^a-zA-Z]", "")), "EIOPQFJLXZ", "ACGTNACGTN")
     d = t.table(spark, sf, "documents").select("doc_id", seq.alias("seq"))
     return d.select("doc_id", "seq", sq.reverse_complement(F.col("seq")).alias("rc"), sq.reverse_complement(F.col("seq"), "upper").alias("rc_upper"))
 

@@ -1,4 +1,4 @@
-"""Queries of iterative, greedy and solver operators that SQL cannot express in practice; tests hold them against brute force."""
+"""Queries of iterative, greedy and solver operators, with SQL where recursion can say them; tests hold the others against brute force."""
 
 from __future__ import annotations
 
@@ -15,6 +15,8 @@ from contigloom.runtime import keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: SQL of sequential folds, which run in tasks of Python.
+FOLDS: dict[str, str] = {}
 
 
 def query(f):
@@ -34,6 +36,57 @@ ORACLES["subgraphs"] = f"""WITH RECURSIVE {t.EDGES}, {t.PARTS}, x AS (SELECT e.*
 m AS (SELECT u, min(label) AS subgraph FROM lab GROUP BY 1) SELECT c1, c2, support, dist, std, o1, o2, subgraph FROM x JOIN m ON u = va"""
 
 
+_LIBS = """d AS (SELECT l_suppkey % 50 AS c1, '+' AS o1, l_partkey % 20 AS c2, CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS o2, CAST(l_quantity * 10 AS BIGINT) AS dist, CAST(l_linenumber * 20 AS BIGINT) AS std, l_returnflag AS lib FROM lineitem)"""
+
+
+def _medians(keys: str) -> str:
+    """CTEs r, b: the edges that are left before each bundle, and the bundles around their medians."""
+    return f"""r({keys}, n, x) AS (SELECT {keys}, 1, list(struct_pack(d := dist::DOUBLE, s := std::DOUBLE) ORDER BY dist, std) FROM d GROUP BY {keys}
+  UNION ALL SELECT {keys}, n + 1, list_filter(x, lambda e: abs(e.d - x[len(x) // 2 + 1].d) > 6 * x[len(x) // 2 + 1].s) FROM r WHERE len(list_filter(x, lambda e: abs(e.d - x[len(x) // 2 + 1].d) > 6 * x[len(x) // 2 + 1].s)) > 0),
+i AS (SELECT {keys}, n, list_filter(x, lambda e: abs(e.d - x[len(x) // 2 + 1].d) <= 6 * x[len(x) // 2 + 1].s) AS x FROM r),
+b AS (SELECT {keys}, n AS bundle, CAST(floor(round(list_sum(list_transform(x, lambda e: e.d / (e.s * e.s))) / list_sum(list_transform(x, lambda e: 1 / (e.s * e.s))), 6) + 0.5) AS BIGINT) AS dist,
+  greatest(1, CAST(floor(1 / sqrt(list_sum(list_transform(x, lambda e: 1 / (e.s * e.s)))) + 0.5) AS BIGINT)) AS std, len(x)::BIGINT AS size FROM i)"""
+
+
+FOLDS["median_seed_bundles"] = f"WITH RECURSIVE {_LIBS}, {_medians('c1, o1, c2, o2')} SELECT * FROM b"
+
+FOLDS["super_bundles"] = f"""WITH RECURSIVE {_LIBS}, {_medians('c1, o1, c2, o2, lib')},
+q(c1, o1, c2, o2, total, x) AS (SELECT c1, o1, c2, o2, sum(size), list(struct_pack(d := dist::DOUBLE, s := std::DOUBLE, n := size) ORDER BY std, dist, size) FROM b GROUP BY 1, 2, 3, 4
+  UNION ALL SELECT c1, o1, c2, o2, total, list_filter(x[:-2], lambda e: abs(e.d - x[-1].d) >= 6 * x[-1].s) FROM q WHERE len(list_filter(x[:-2], lambda e: abs(e.d - x[-1].d) >= 6 * x[-1].s)) > 0),
+k AS (SELECT c1, o1, c2, o2, total, list_append(list_filter(x[:-2], lambda e: abs(e.d - x[-1].d) < 6 * x[-1].s), x[-1]) AS x FROM q)
+SELECT c1, o1, c2, o2, CAST(floor(round(list_sum(list_transform(x, lambda e: e.d / (e.s * e.s))) / list_sum(list_transform(x, lambda e: 1 / (e.s * e.s))), 6) + 0.5) AS BIGINT) AS dist,
+  greatest(1, CAST(floor(1 / sqrt(list_sum(list_transform(x, lambda e: 1 / (e.s * e.s)))) + 0.5) AS BIGINT)) AS std, CAST(list_sum(list_transform(x, lambda e: e.n)) AS BIGINT) AS size, len(x)::BIGINT AS members
+FROM k WHERE list_sum(list_transform(x, lambda e: e.n)) >= 5 AND list_sum(list_transform(x, lambda e: e.n)) * 2 > total"""
+
+FOLDS["seed_bundles_desc"] = f"""WITH RECURSIVE {_LIBS}, e AS (SELECT c1, c2, o1 || ':' || o2 AS ori, dist::DOUBLE AS d, row_number() OVER (PARTITION BY c1, c2, o1, o2 ORDER BY dist DESC) AS rn FROM d),
+f(c1, c2, ori, rn, x) AS (SELECT c1, c2, ori, rn, [struct_pack(s := d, t := d, n := 1::BIGINT)] FROM e WHERE rn = 1
+  UNION ALL SELECT f.c1, f.c2, f.ori, e.rn, CASE WHEN len(list_filter(x, lambda b: abs(d - b.s) <= 6 * (abs(b.s) * 0.1 + 50))) = 0 THEN list_append(x, struct_pack(s := d, t := d, n := 1::BIGINT))
+    ELSE list_transform(x, lambda b, i: CASE WHEN i = list_position(list_transform(x, lambda c: abs(d - c.s) <= 6 * (abs(c.s) * 0.1 + 50)), true) THEN struct_pack(s := b.s, t := b.t + d, n := b.n + 1) ELSE b END) END
+  FROM f JOIN e ON e.c1 = f.c1 AND e.c2 = f.c2 AND e.ori = f.ori AND e.rn = f.rn + 1),
+l AS (SELECT c1, c2, ori, arg_max(x, rn) AS x FROM f GROUP BY 1, 2, 3), u AS (SELECT c1, c2, ori, unnest(x) AS b, generate_subscripts(x, 1) AS i FROM l),
+w AS (SELECT *, row_number() OVER (PARTITION BY c1, c2 ORDER BY b.n DESC, ori, i) AS k FROM u)
+SELECT c1, c2, ori, CAST(trunc(b.t / b.n) AS BIGINT) AS dist, CAST(trunc(abs(b.t / b.n) * 0.1 + 50) AS BIGINT) AS std, b.n AS support FROM w WHERE k = 1"""
+
+FOLDS["gap_correction"] = """WITH s(step) AS (VALUES (250), (500), (750), (1000)), g AS (SELECT unnest(range(0, 391)) AS gap), n AS (SELECT unnest(range(120, 481)) AS ins),
+p AS (SELECT step, gap, ins, exp(-0.5 * ((ins - 300.0) / 30.0) ** 2) * CASE WHEN ins - gap - 99 > 0 THEN least(greatest(least(ins - gap - 99, 2 * step - (ins - gap - 99)), 0), step) ELSE 0 END AS w FROM s, g, n),
+t AS (SELECT step, gap, gap + 300.0 - sum(ins * w) / sum(w) AS est FROM p GROUP BY 1, 2 HAVING sum(w) > 0),
+m AS (SELECT step, gap, max(est) OVER (PARTITION BY step ORDER BY gap) AS est FROM t),
+e AS (SELECT l_orderkey, l_linenumber, l_quantity * 4 AS dist, l_partkey % 900 + 100 AS min_len FROM lineitem),
+c AS (SELECT DISTINCT dist, CASE WHEN min_len <= 250 THEN 250 WHEN min_len <= 500 THEN 500 WHEN min_len <= 750 THEN 750 ELSE 1000 END AS step FROM e),
+o AS (SELECT dist, c.step, count(*) FILTER (est < dist) AS lo, count(*) FILTER (est <= dist) AS hi, arg_min(gap, (abs(est - dist), gap)) FILTER (est IS NOT NULL) AS near FROM c JOIN m ON m.step = c.step GROUP BY 1, 2)
+SELECT e.*, CAST(CASE WHEN hi > lo THEN floor((lo + hi - 1) / 2.0 + 0.5) ELSE near END AS BIGINT) AS real_gap FROM e JOIN o ON o.dist = e.dist AND o.step = CASE WHEN min_len <= 250 THEN 250 WHEN min_len <= 500 THEN 500 WHEN min_len <= 750 THEN 750 ELSE 1000 END"""
+
+FOLDS["dendrogram_merges"] = f"""WITH RECURSIVE {t.EDGES}, {flat.RATES},
+w AS (SELECT c1, c2, max(CASE WHEN greatest(a.rate, b.rate) = 0 THEN 0 ELSE (greatest(a.rate, b.rate) - least(a.rate, b.rate)) / greatest(a.rate, b.rate) END) AS weight FROM edges JOIN rates a ON c1 = a.id JOIN rates b ON c2 = b.id AND a.sample = b.sample WHERE support >= 3 GROUP BY 1, 2),
+e AS (SELECT *, row_number() OVER (ORDER BY weight, c1, c2) AS rn FROM w), v AS (SELECT c1 AS v FROM e UNION SELECT c2 FROM e),
+f(rn, lab, la, lb, weight, size) AS (SELECT 0::BIGINT, (SELECT map_from_entries(list((v, v))) FROM v), NULL::BIGINT, NULL::BIGINT, NULL::DOUBLE, NULL::BIGINT
+  UNION ALL SELECT e.rn, CASE WHEN lab[c1] = lab[c2] THEN lab ELSE map_from_entries(list_transform(map_entries(lab), lambda x: (x.key, CASE WHEN x.value = greatest(lab[c1], lab[c2]) THEN least(lab[c1], lab[c2]) ELSE x.value END))) END,
+    CASE WHEN lab[c1] <> lab[c2] THEN least(lab[c1], lab[c2]) END, CASE WHEN lab[c1] <> lab[c2] THEN greatest(lab[c1], lab[c2]) END, e.weight, CASE WHEN lab[c1] <> lab[c2] THEN len(list_filter(map_values(lab), lambda x: x = lab[c1] OR x = lab[c2])) END
+  FROM f JOIN e ON e.rn = f.rn + 1),
+z AS (SELECT lab FROM f ORDER BY rn DESC LIMIT 1)
+SELECT z.lab[la] AS component, CAST(row_number() OVER (PARTITION BY z.lab[la] ORDER BY rn) AS INT) AS merge, la AS "left", lb AS "right", round(weight, 6) AS weight, CAST(size AS INT) AS size FROM f, z WHERE la IS NOT NULL"""
+
+
 def _distances(spark, sf):
     """Edge distances of one library per return flag: c1, o1, c2, o2, dist, std, lib."""
     li = t.table(spark, sf, "lineitem")

@@ -30,13 +30,31 @@ _UP = [_powers(b) for b in _BASES]
 _DOWN = [_powers(pow(b, -1, 1 << 64)) for b in _BASES]
 
 
-def chunks(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
-    """(all bytes, chunk starts, chunk ends, number of the first chunk of each text and of the end)."""
+#: Kinds of bytes: ASCII letters and, but for the apostrophe, ASCII punctuation.
+_LETTER, _MARK = np.zeros(256, np.bool_), np.zeros(256, np.bool_)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK[[*range(33, 39), *range(40, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+
+
+def lowered(raw: bytes) -> bytes:
+    """A-Z in lower case where an ASCII byte or the end follows, so that no letter which a combining mark may change is touched."""
+    data = np.frombuffer(raw, np.uint8)
+    upper = (data >= 65) & (data <= 90)
+    upper[:-1] &= data[1:] < 128
+    return (data + (upper * np.uint8(32))).tobytes()
+
+
+def chunks(texts: list[bytes], cut: bool = False) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """(all bytes, chunk starts, chunk ends, number of the first chunk of each text and of the end). cut: chunks are parted between ASCII letters and punctuation too."""
     raw = b"\n".join(texts)
-    word = np.zeros(len(raw) + 2, np.int8)
-    word[1:-1] = ~_SPACE[np.frombuffer(raw, np.uint8)]
-    step = np.diff(word)
-    start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    data = np.frombuffer(raw, np.uint8)
+    word = np.zeros(len(raw) + 2, np.bool_)
+    word[1:-1] = ~_SPACE[data]
+    apart = np.zeros(len(raw) + 1, np.bool_)  # a boundary before a byte
+    if cut and len(raw) > 1:
+        letter, mark = _LETTER[data], _MARK[data]
+        apart[1:-1] = (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])
+    start, end = np.flatnonzero(word[1:] & (apart | ~word[:-1])), np.flatnonzero(word[:-1] & (apart | ~word[1:]))
     begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
     return raw, start, end, np.searchsorted(start, begins)
 

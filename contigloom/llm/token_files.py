@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contigloom.llm.chunks import chunks, hashes, slices
+from contigloom.llm.chunks import chunks, hashes, lowered, slices
 from contigloom.runtime import keep, ship, tidy
 
 MANIFEST = "`{key}` {kind}, part int, file string, first long, n_tokens long"
@@ -82,6 +82,7 @@ class ChunkEncoder(TextEncoder):
         self.size, self.ids = np.zeros(slots, np.uint8), np.zeros((slots, self.WIDE), self.dtype)
         between = self.library(self.SEPARATOR)
         self.between = int(between[0]) if len(between) == 1 else None
+        self.fine, self.added = _parts_marks(path)
 
     def _learn(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all these chunks, one after the other, and how many each has."""
@@ -109,7 +110,11 @@ class ChunkEncoder(TextEncoder):
         return out
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
-        raw, start, end, first = chunks(texts)
+        cut = False
+        if self.fine:
+            low = [lowered(t) for t in texts]
+            cut = not any(x in t for t in low for x in self.added)
+        raw, start, end, first = chunks(low if cut else texts, cut)
         a, b = hashes(raw, start, end, 0), hashes(raw, start, end, 1)
         slot = (a % np.uint64(len(self.size))).astype(np.int64)
         hit = (self.first[slot] == a) & (self.second[slot] == b)
@@ -170,6 +175,19 @@ def _keeps_space(step: dict) -> bool:
     return any(not set(m[0]).isdisjoint("\t\n\x0b\x0c\r ") for p in probes for m in pattern.finditer(p))
 
 
+#: Fixed values of a known model: its steps before the vocabulary, under which the pieces of letters and of punctuation do not depend on one another.
+KNOWN_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+KNOWN_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _parts_marks(path: str) -> tuple[bool, list[bytes]]:
+    """(whether the model is one of the known description, its added tokens)."""
+    told = json.loads(load_model(path).to_str())
+    steps = (told.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    known = (told.get("normalizer") or {}).get("normalizers") == KNOWN_NORMALIZER and steps[0].get("pattern") == {"Regex": KNOWN_PIECES} and [x.get("type") for x in steps[1:]] == ["ByteLevel"] and not steps[1].get("use_regex")
+    return known, [x["content"].lower().encode() for x in told.get("added_tokens") or []]
+
+
 def drops_white_space(path: str) -> bool:
     """Whether chunks can be encoded one by one: the model's description says that ASCII white space parts pieces and is dropped, and a probe agrees.
 

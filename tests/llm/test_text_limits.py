@@ -203,3 +203,13 @@ def test_whole_documents_of_the_mix(spark):
     words = {s: sum(len(t.split()) for _, t, x in out if x == s) for s in target}
     assert words == total
     assert max(out.count(r) / rows.count(r) for r in set(out)) <= 3
+
+
+def test_chunks_parted_at_punctuation_are_exact():
+    own = token_files.ChunkEncoder(WORDS, "<u2")
+    assert own.fine
+    rng = random.Random(2)
+    pieces = ["a", "A", "H", "̱", "T̈", "İ", "İ", "'", "'s", "'S", "n't", "'RE", ".", ",", "***", "-", "(", "é", "É", " ", "  ", "\n", "1", "23", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "ß", "ǅ", "ﬁ", "Σ", " ", " ", "x", "Zebra", "\x01", "_", "@", "K", "´", "`"]
+    for _ in range(4000):
+        t = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 9))).encode()
+        assert own._encode([t])[0] == own.library(t).tobytes()

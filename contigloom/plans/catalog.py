@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from contigloom.plans import files, flat, solved
+from contigloom.plans import files, flat, more, solved
 
-QUERIES: dict = {**flat.QUERIES, **files.QUERIES, **solved.QUERIES}
-ORACLES: dict = {**flat.ORACLES, **files.ORACLES, **solved.ORACLES}
-FOLD_ORACLES: dict = solved.FOLDS
+QUERIES: dict = {**flat.QUERIES, **files.QUERIES, **more.QUERIES, **solved.QUERIES}
+ORACLES: dict = {**flat.ORACLES, **files.ORACLES, **more.ORACLES, **solved.ORACLES}
+FOLD_ORACLES: dict = {**solved.FOLDS, **more.FOLDS}
 FLAGSHIP = "final_cluster_table"

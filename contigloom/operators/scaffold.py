@@ -65,7 +65,14 @@ def solve_order(contigs: list, lengths: dict, edges: list[tuple], k: int = 60, n
             return [], -1, False
         at = {c: (i, a, a + lengths[c]) for i, (c, o, a) in enumerate(order)}
         sign = {c: o for c, o, _ in order}
-        near = sorted({x for c in placed for e in by_contig[c] for x in (e[0], e[2]) if x not in placed}) or [c for c in names if c not in placed]
+        reach: dict = {}
+        for c in placed:
+            for e in by_contig[c]:
+                x = e[2] if e[0] == c else e[0]
+                if x not in placed:
+                    middle = abs(e[4] + (lengths[c] + lengths[x]) / 2)  # between the two contigs' middles
+                    reach[x] = min(reach.get(x, middle), middle)
+        near = sorted(reach, key=lambda x: (reach[x], x)) or sorted((c for c in names if c not in placed), key=lambda x: (len(by_contig[x]), x))
         for c in near:
             for o in "+-":
                 at[c], sign[c] = (len(order), end, end + lengths[c]), o
@@ -253,14 +260,18 @@ def satisfied_repeat_edges(edges: DataFrame, placed: DataFrame, k: int = 60, n_s
     return e.join(good, "_id", "left").withColumn("satisfied", F.coalesce("satisfied", F.lit(False))).drop("_id")
 
 
-def scaffold_sequences(scaffolds: DataFrame, seqs: DataFrame, min_gap: int = 10) -> DataFrame:
-    """scaffold and seq: children in order, reverse-complemented where '-', with max(gap, min_gap) N between them."""
+def scaffold_sequences(scaffolds: DataFrame, seqs: DataFrame, min_gap: int = 10, fillings: DataFrame | None = None) -> DataFrame:
+    """scaffold and seq: children in order, reverse-complemented where '-', with max(gap, min_gap) N between them, or a filling (scaffold, pos, filling) that is not empty."""
     from contigloom.functions.sequence import reverse_complement
 
     j = scaffolds.join(seqs.select(F.col("id").alias("contig"), "seq"), "contig")
+    if fillings is not None:
+        j = j.join(fillings.select("scaffold", "pos", F.nullif(F.col("filling"), F.lit("")).alias("_filling")), ["scaffold", "pos"], "left")
+    else:
+        j = j.withColumn("_filling", F.lit(None).cast("string"))
     text = F.when(F.col("ori") == "-", reverse_complement(F.col("seq"), "upper")).otherwise(F.upper("seq"))
     last = F.lead("pos").over(Window.partitionBy("scaffold").orderBy("pos")).isNull()
-    piece = F.concat(text, F.when(last, "").otherwise(F.repeat(F.lit("N"), F.greatest(F.coalesce("gap", F.lit(0)), F.lit(min_gap)).cast("int"))))
+    piece = F.concat(text, F.when(last, "").otherwise(F.coalesce(F.upper("_filling"), F.repeat(F.lit("N"), F.greatest(F.coalesce("gap", F.lit(0)), F.lit(min_gap)).cast("int")))))
     parts = j.withColumn("_piece", piece).groupBy("scaffold").agg(F.array_sort(F.collect_list(F.struct("pos", "_piece"))).alias("p"))
     return parts.select("scaffold", F.array_join(F.transform("p", lambda x: x["_piece"]), "").alias("seq"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import os
 import tempfile
@@ -12,6 +13,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Lists of tables that keep() adds to, innermost last.
+_collecting: list[list[DataFrame]] = []
 _PACKAGE = Path(__file__).resolve().parent
 _shipped: dict[str, bool] = {}
 
@@ -72,9 +75,28 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._kept_path = path
+    if _collecting:
+        _collecting[-1].append(out)
     return out
 
 
+@contextlib.contextmanager
+def passing(lasting: list[DataFrame]) -> Iterator[None]:
+    """Tables that keep() writes inside are deleted at the end, but for those that are put into lasting."""
+    made: list[DataFrame] = []
+    _collecting.append(made)
+    try:
+        yield
+    finally:
+        _collecting.pop()
+        for df in made:
+            if any(df is x for x in lasting):
+                if _collecting:
+                    _collecting[-1].append(df)
+            else:
+                drop(df)
+
+
 def drop(df: DataFrame) -> None:
     """Delete a table that keep() wrote and nothing reads any more."""
     path = getattr(df, "_kept_path", None)

@@ -92,3 +92,10 @@ def slices(batch: pa.RecordBatch, column: int, rows: int = 256, most_bytes: int
         held += n
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+def unused(columns: list[str], start: str = "_") -> str:
+    """A beginning of names that no column's name has."""
+    while any(c.lower().startswith(start) for c in columns):
+        start += "_"
+    return start

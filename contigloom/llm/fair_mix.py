@@ -13,7 +13,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contigloom.runtime import keep
+from contigloom.llm.chunks import unused
+from contigloom.runtime import keep, passing
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: Rows that one (source, bucket) window holds at most on average.
@@ -109,6 +110,12 @@ def mixed_sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     return out.select(F.col("key").alias(key), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 
+def _copies(rows: DataFrame, sequence: DataFrame, mark: str) -> DataFrame:
+    """The sequence with what tells a document: key, hash of the text and source. Equal rows share the copies that the mix took of them."""
+    served = sequence.select("row", "finish", "copy", "taken").join(rows, "row")
+    return served.select(*(F.col(c).alias(f"{mark}_{c}") for c in ("key", "same", "source", "row", "finish", "copy", "size", "taken")))
+
+
 def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", length: str = "n_chars", whole: bool = False) -> DataFrame:
     """The documents of the mix, a row per copy, with the columns of docs, in the order of their virtual finish times.
 
@@ -117,22 +124,23 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
     Empty and null texts are not taken; an empty table gives none. The join shuffles the texts once, at every size: a mix names most documents;
     the global range sort shuffles them once more.
     """
-    rows = sized(docs, key, text, source)
-    served = mix(rows, whole=whole)[1].select("row", "finish", "copy", "taken").join(rows, "row")
-    # equal rows share the copies that the mix took of them
-    copies = served.select(F.col("key").alias("_key"), F.col("same").alias("_same"), F.col("source").alias("_source"), F.col("row").alias("_row"), F.col("finish").alias("_finish"), F.col("copy").alias("_copy"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    copies = keep(copies, "mix")
-    repeated = rows.groupBy("key", "same", "source").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count() > 0
-    same = F.xxhash64(text).eqNullSafe(F.col("_same")) & F.col(key).eqNullSafe(F.col("_key")) & F.col(source).cast("string").eqNullSafe(F.col("_source"))
+    lasting: list[DataFrame] = []
+    with passing(lasting):
+        rows = sized(docs, key, text, source)
+        mark = unused(docs.columns, "_mix")
+        copies = keep(_copies(rows, mix(rows, whole=whole)[1], mark), "mix")
+        repeated = rows.groupBy("key", "same", "source").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count() > 0
+        lasting.append(copies)
+    same = F.xxhash64(text).eqNullSafe(F.col(f"{mark}_same")) & F.col(key).eqNullSafe(F.col(f"{mark}_key")) & F.col(source).cast("string").eqNullSafe(F.col(f"{mark}_source"))
     named = docs.dropDuplicates([key, text, source]) if repeated else docs
     out = named.join(copies.hint("merge"), same)
     if not whole:
         words = F.array_remove(F.split(F.col(text), SPACES), "")
-        cut = F.when(F.col("_taken") < F.col("_size"), F.array_join(F.slice(words, F.lit(1), F.col("_taken").cast("int")), " ")).otherwise(F.col(text))
+        cut = F.when(F.col(f"{mark}_taken") < F.col(f"{mark}_size"), F.array_join(F.slice(words, F.lit(1), F.col(f"{mark}_taken").cast("int")), " ")).otherwise(F.col(text))
         out = out.withColumn(text, cut)
         if length in docs.columns:
             out = out.withColumn(length, F.length(text).cast(docs.schema[length].dataType))
-    return out.repartitionByRange("_finish", "_row", "_copy").sortWithinPartitions("_finish", "_row", "_copy").select(docs.columns)
+    return out.repartitionByRange(f"{mark}_finish", f"{mark}_row", f"{mark}_copy").sortWithinPartitions(f"{mark}_finish", f"{mark}_row", f"{mark}_copy").select(docs.columns)
 
 
 #: The same in SQL: sizes, targets by the water level over caps divided by weights, and what up to three rounds over a source take.

@@ -18,9 +18,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contigloom.llm.chunks import chunks, hashes, slices
+from contigloom.llm.chunks import chunks, hashes, slices, unused
 from contigloom.operators.graph import connected_components
-from contigloom.runtime import keep, ship, tidy
+from contigloom.runtime import keep, passing, ship, tidy
 
 #: Registers of a sketch.
 M = 120
@@ -412,13 +412,17 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", broadc
     The rows to leave out, named by key and text hash, are broadcast only if they are few, else anti-joined by a shuffle. Of rows that share a key, one stays,
     of the text that is kept; rows without a key are left out.
     """
-    found = classes(docs, key, text, least=least).filter(F.col("doc").isNotNull())
-    found = keep(found.groupBy("doc", "copy").agg(F.max(F.coalesce(F.col("doc") == F.col("component"), F.lit(False))).alias("kept"), F.count("*").alias("n")), "kept")
+    lasting: list[DataFrame] = []
+    with passing(lasting):
+        found = classes(docs, key, text, least=least).filter(F.col("doc").isNotNull())
+        found = keep(found.groupBy("doc", "copy").agg(F.max(F.coalesce(F.col("doc") == F.col("component"), F.lit(False))).alias("kept"), F.count("*").alias("n")), "kept")
+        lasting.append(found)
     seen = found.groupBy("doc").agg(F.count_if(~F.col("kept")).alias("drop"), F.sum("n").alias("n"))
     n = seen.agg(F.coalesce(F.sum("drop"), F.lit(0)).alias("drop"), F.count_if((F.col("n") > 1) & (F.col("n") > F.col("drop"))).alias("repeated")).first()
-    gone = found.filter(~F.col("kept")).select(F.col("doc").alias("_gone"), F.col("copy").alias("_copy"))
+    mark = unused(docs.columns, "_gone")
+    gone = found.filter(~F.col("kept")).select(F.col("doc").alias(f"{mark}_doc"), F.col("copy").alias(f"{mark}_copy"))
     rows = docs.filter(F.col(key).isNotNull())
-    same = (F.col(key) == F.col("_gone")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("_copy"))
+    same = (F.col(key) == F.col(f"{mark}_doc")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col(f"{mark}_copy"))
     out = rows.join(F.broadcast(gone) if n["drop"] * 64 <= broadcast_bytes else gone.hint("merge"), same, "left_anti")
     return (out.dropDuplicates([key]) if n["repeated"] else out).select(docs.columns)
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from contigloom.llm.chunks import slices
+from contigloom.llm.chunks import slices, unused
 from contigloom.runtime import keep, ship, tidy
 
 WIDTHS = (1, 2, 3)
@@ -293,9 +293,7 @@ def reject(docs: DataFrame, model: Model, labels: DataFrame | None = None, key:
     Given labels, all rows are scored once into a table in the shared folder, from which the thresholds are calibrated first. Null and empty texts get the score
     of no words; a null language has the threshold 0.5; repeated rows and null keys are judged like others, an empty table stays empty; all columns are kept.
     """
-    name = "_score"
-    while name in docs.columns:
-        name += "_"
+    name = unused(docs.columns, "_score")
     scored = with_scores(docs, model, text, name)
     if labels is not None:
         scored = keep(scored, "scored")

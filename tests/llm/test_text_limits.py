@@ -213,3 +213,20 @@ def test_chunks_parted_at_punctuation_are_exact():
     for _ in range(4000):
         t = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 9))).encode()
         assert own._encode([t])[0] == own.library(t).tobytes()
+
+
+def test_stages_keep_columns_named_like_their_own(spark, tmp_path):
+    import corpus_pipeline
+
+    names = ["_mix_key", "_Mix_taken", "_gone_doc", "_score", "_same", "_key", "_source", "kept", "finish", "copy", "order", "block", "known", "bin", "_text"]
+    rows = [(i, " ".join(f"w{(i * 7 + k) % 90}" for k in range(40)), "en", f"s{i % 3}", 5) for i in range(60)]
+    docs = spark.createDataFrame([(*r, *[f"{n}{r[0]}" for n in names]) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names))
+    spark.createDataFrame([(i, 0, i % 2) for i in range(50)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, "no such passage in any of the documents here, at all")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    d = docs
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        d = stage(spark, d, str(tmp_path))
+        d.write.parquet(str(tmp_path / name))
+        d = spark.read.parquet(str(tmp_path / name))
+        assert d.columns == docs.columns
+        assert all(r["_mix_key"] == f"_mix_key{r['doc_id']}" and r["known"] == f"known{r['doc_id']}" for r in d.collect())

@@ -100,54 +100,64 @@ def _split(order: tuple, lengths: dict, edges: list[tuple], k: int, n_sd: int) -
     return out
 
 
-def gap_qp(lengths: list[int], edges: list[tuple[int, int, float, float]], k: int = 60, n_sd: int = 6, rounds: int = 25) -> np.ndarray:
-    """Gap sizes of a chain by least squares: each edge (i, j, d, s) wants the gaps from i to j plus the contigs between to be d, weighted by 1 / s, with gaps of at
-    least -k and spans of at most d + n_sd * s.
+def nonnegative(m: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The x >= 0 that makes x.m.x / 2 - b.x least, m being positive semidefinite: the set of positive components grows by the steepest one and shrinks
+    where a step would leave the positive side, so it ends at the exact solution."""
+    x, free = np.zeros(len(b)), np.zeros(len(b), bool)
+    scale = max(1.0, float(np.abs(b).max(initial=0)))
+    for _ in range(10 * len(b) + 10):
+        slope = np.where(free, -np.inf, b - m @ x)
+        if not len(b) or slope.max() <= 1e-10 * scale:
+            break
+        free[slope.argmax()] = True
+        while True:
+            s = np.zeros(len(b))
+            s[free] = np.linalg.lstsq(m[np.ix_(free, free)], b[free], rcond=None)[0]
+            bad = free & (s <= 1e-14)
+            if not bad.any():
+                break
+            with np.errstate(divide="ignore", invalid="ignore"):
+                step = np.where(bad, x / (x - s), np.inf)
+            x = x + min(1.0, float(np.nan_to_num(step[bad], nan=0.0).min())) * (s - x)
+            free &= x > 1e-14
+            x[~free] = 0
+        x = s
+    return x
+
+
+def gap_qp(lengths: list[int], edges: list[tuple[int, int, float, float]], k: int = 60, n_sd: int = 6) -> np.ndarray:
+    """Gap sizes of a chain by a convex quadratic program: each edge (i, j, d, s) wants the gaps from i to j plus the contigs between to be d, weighted by
+    1 / s, with gaps of at least -k and spans of at most d + n_sd * s. Solved exactly by way of its dual.
 
-    Projected active-set iteration over the bounds; span limits enter as penalties that are raised until they hold. Limits that not even
-    the least gaps meet are left out.
+    Limits that not even the least gaps meet cannot hold and are left out; those that are left always hold together. Gaps that no edge spans are 0.
     """
     n = len(lengths) - 1
-    if n <= 0:
-        return np.zeros(0)
-    rows, want, weight, limit = [], [], [], []
-    for i, j, d, s in edges:
-        mid = sum(lengths[i + 1 : j])
-        row = np.zeros(n)
+    if n <= 0 or not edges:
+        return np.zeros(max(n, 0))
+    a, want, weight, limit = np.zeros((len(edges), n)), [], [], []
+    for row, (i, j, d, s) in zip(a, edges):
         row[i:j] = 1
-        rows.append(row)
+        mid = sum(lengths[i + 1 : j])
         want.append(d - mid)
         weight.append(1 / max(s, 1.0))
         limit.append(d + n_sd * s - mid)
-    if not rows:
-        return np.zeros(n)
-    a, b, w, top = np.array(rows), np.array(want, float), np.array(weight), np.array(limit, float)
-    extra = np.zeros(len(b))
+    b, w, top = np.array(want, float), np.array(weight), np.array(limit, float)
+    h = (a * (w**2)[:, None]).T @ a
+    h += 1e-9 * max(1e-12, float(h.diagonal().max())) * np.eye(n)
+    free = np.linalg.solve(h, a.T @ (w**2 * b))
     possible = a.sum(1) * -float(k) <= top
-    gaps = np.zeros(n)
-    for _ in range(rounds):
-        aw = np.vstack([a * w[:, None], a * extra[:, None], 1e-6 * np.eye(n)])
-        bw = np.concatenate([b * w, top * extra, np.zeros(n)])
-        bound = np.zeros(n, bool)
-        for _ in range(2 * n + 2):
-            g = np.full(n, -float(k))
-            if (~bound).any():
-                g[~bound] = np.linalg.lstsq(aw[:, ~bound], bw - aw[:, bound] @ g[bound], rcond=None)[0]
-            bad = ~bound & (g < -k - 1e-9)
-            slope = aw.T @ (aw @ g - bw)
-            loose = bound & (slope < -1e-9)
-            if bad.any():
-                bound |= bad
-            elif loose.any():
-                bound[np.flatnonzero(loose)[np.argmin(slope[loose])]] = False
-            else:
-                break
-        gaps = g
-        over = (a @ gaps > top + 0.5) & possible
-        if not over.any():
-            break
-        extra = np.where(over, np.maximum(extra * 4, w), extra)
-    return gaps
+    c, e = np.vstack([np.eye(n), -a[possible]]), np.concatenate([np.full(n, -float(k)), -top[possible]])
+    if (c @ free >= e - 1e-9).all():
+        return free
+    inverse = np.linalg.solve(h, c.T)
+    push = nonnegative(c @ inverse, e - c @ free)
+    g, tight = free + inverse @ push, push > 0
+    # the same with the limits that hold as equations, without the rounding of the badly conditioned inverse
+    start = np.linalg.lstsq(c[tight], e[tight], rcond=None)[0]
+    _, size, turn = np.linalg.svd(c[tight])
+    inner = turn[int((size > 1e-9).sum()) :].T
+    near = start + inner @ np.linalg.lstsq(np.vstack([(a * w[:, None]) @ inner, 1e-6 * inner]), np.concatenate([w * (b - a @ start), -1e-6 * start]), rcond=None)[0] if inner.shape[1] else start
+    return near if np.abs(near - g).max() < 1e-2 and (c @ near >= e - 1e-6).all() else g
 
 
 def order_scaffolds(edges: DataFrame, contigs: DataFrame, subgraph: str = "subgraph", id: str = "id", length: str = "length", k: int = 60, n_sd: int = 6, budget: int = 100_000, step: int = 5) -> DataFrame:

@@ -87,24 +87,28 @@ def cut(merges: list[tuple[int, int, float, int]], counts: list[np.ndarray], len
     """
     n, samples = len(counts), counts[0].shape[0]
     logpf = MODELS[model]
-    members: list[list[int]] = [[i] for i in range(n)] + [[] for _ in merges]
-    for i, (a, b, _, _) in enumerate(merges):
-        members[n + i] = members[a] + members[b]
+    # of each node: its length and, by sample, the distinct window counts and how often they stand; a node of a merge has those of its sides added
+    size = [float(x) for x in lengths]
+    seen = [[np.unique(c, return_counts=True) for c in leaf] for leaf in counts]
 
-    def score(leaves: list[int]) -> float:
+    def score(node: int) -> float:
         total = -0.5 * samples * math.log(max(penalty_n, 1.0))
-        length = lengths[leaves].sum()
-        for s in range(samples):
-            mean = sum(counts[i][s].sum() for i in leaves) / length * win
+        for distinct, times in seen[node]:
+            mean = float((distinct * times).sum()) / size[node] * win
             if mean > 0:
-                values = np.concatenate([counts[i][s] for i in leaves])
-                distinct, times = np.unique(values, return_counts=True)
                 total += float((logpf(distinct.astype(float), mean, r) * times).sum())
         return total
 
-    best, whole = [score(m) for m in members[:n]], [True] * n
+    def added(one: tuple, two: tuple) -> tuple:
+        distinct, at = np.unique(np.concatenate([one[0], two[0]]), return_inverse=True)
+        return distinct, np.bincount(at, np.concatenate([one[1], two[1]]))
+
+    best, whole = [score(i) for i in range(n)], [True] * n
     for i, (a, b, _, _) in enumerate(merges):
-        joint, apart = score(members[n + i]), best[a] + best[b]
+        size.append(size[a] + size[b])
+        seen.append([added(x, y) for x, y in zip(seen[a], seen[b])])
+        seen[a] = seen[b] = []  # read no more
+        joint, apart = score(n + i), best[a] + best[b]
         whole.append(joint >= apart)
         best.append(max(joint, apart))
     out, number = np.full(n, -1), 0
@@ -113,7 +117,14 @@ def cut(merges: list[tuple[int, int, float, int]], counts: list[np.ndarray], len
     while stack:
         x = stack.pop()
         if whole[x]:
-            out[members[x]], number = number, number + 1
+            below_x = [x]
+            while below_x:
+                y = below_x.pop()
+                if y < n:
+                    out[y] = number
+                else:
+                    below_x += merges[y - n][:2]
+            number += 1
         else:
             stack += [merges[x - n][1], merges[x - n][0]]
     return out

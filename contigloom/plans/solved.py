@@ -44,7 +44,7 @@ def _medians(keys: str) -> str:
     return f"""r({keys}, n, x) AS (SELECT {keys}, 1, list(struct_pack(d := dist::DOUBLE, s := std::DOUBLE) ORDER BY dist, std) FROM d GROUP BY {keys}
   UNION ALL SELECT {keys}, n + 1, list_filter(x, lambda e: abs(e.d - x[len(x) // 2 + 1].d) > 6 * x[len(x) // 2 + 1].s) FROM r WHERE len(list_filter(x, lambda e: abs(e.d - x[len(x) // 2 + 1].d) > 6 * x[len(x) // 2 + 1].s)) > 0),
 i AS (SELECT {keys}, n, list_filter(x, lambda e: abs(e.d - x[len(x) // 2 + 1].d) <= 6 * x[len(x) // 2 + 1].s) AS x FROM r),
-b AS (SELECT {keys}, n AS bundle, CAST(floor(round(list_sum(list_transform(x, lambda e: e.d / (e.s * e.s))) / list_sum(list_transform(x, lambda e: 1 / (e.s * e.s))), 6) + 0.5) AS BIGINT) AS dist,
+b AS (SELECT {keys}, n AS bundle, CAST(floor(list_sum(list_transform(x, lambda e: e.d / (e.s * e.s))) / list_sum(list_transform(x, lambda e: 1 / (e.s * e.s))) + 0.5) AS BIGINT) AS dist,
   greatest(1, CAST(floor(1 / sqrt(list_sum(list_transform(x, lambda e: 1 / (e.s * e.s)))) + 0.5) AS BIGINT)) AS std, len(x)::BIGINT AS size FROM i)"""
 
 

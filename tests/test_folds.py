@@ -107,3 +107,66 @@ def test_header_lines_begin_every_file(spark, tmp_path):
     writers.with_header(lines, "top").write.text(str(tmp_path / "h"))
     got = readers.numbered_lines(spark, str(tmp_path / "h")).filter("value = 'top'").collect()
     assert len(got) == 5 and {r["line"] for r in got} == {0}
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_gap_sizes_against_a_grid(seed):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    lengths = [100, 80, 120, 90][: 3 + seed % 2]
+    n = len(lengths) - 1
+    edges_ = []
+    for _ in range(int(rng.integers(1, 6))):
+        i, j = sorted(rng.choice(n + 1, 2, replace=False).tolist())
+        edges_.append((i, j, float(rng.integers(-150, 250)), float(rng.integers(1, 25))))
+    k, n_sd = 20, 2
+
+    def cost(g):
+        return sum((((g[..., i:j]).sum(-1) + sum(lengths[i + 1 : j]) - d) / max(s, 1.0)) ** 2 for i, j, d, s in edges_)
+
+    got = scaffold.gap_qp(lengths, edges_, k, n_sd)
+    axes = np.meshgrid(*[np.arange(-k, 260, 4 if n == 3 else 1)] * n, indexing="ij")
+    grid = np.stack(axes, -1).reshape(-1, n).astype(float)
+    holds = [(i, j, d + n_sd * s - sum(lengths[i + 1 : j])) for i, j, d, s in edges_ if (j - i) * -k <= d + n_sd * s - sum(lengths[i + 1 : j])]
+    fine = np.all([grid[:, i:j].sum(1) <= top for i, j, top in holds], axis=0) if holds else np.ones(len(grid), bool)
+    assert (got >= -k - 1e-6).all() and all(got[i:j].sum() <= top + 1e-6 for i, j, top in holds)
+    assert cost(got[None])[0] <= cost(grid[fine]).min() + 1e-3
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_tree_cut_against_all_cuts(seed):
+    import math
+
+    import numpy as np
+
+    from contigloom.operators import trees
+
+    rng = np.random.default_rng(seed)
+    n = 6
+    counts = [rng.poisson(rng.choice([5, 40]), (2, 7)) for _ in range(n)]
+    lengths = np.full(n, 7 * 340.0)
+    pairs = [(int(a), int(b), float(rng.random())) for a in range(n) for b in range(a)]
+    merges = trees.merge_order(*(np.array(x) for x in zip(*pairs)))
+    got = trees.cut(merges, counts, lengths, 340, 10.0, 50.0)
+    leaves = [{i} for i in range(n)]
+    for a, b, _, _ in merges:
+        leaves.append(leaves[a] | leaves[b])
+
+    def score(own):
+        total = -0.5 * 2 * math.log(50.0)
+        for s in range(2):
+            values = np.concatenate([counts[i][s] for i in sorted(own)])
+            mean = values.sum() / lengths[sorted(own)].sum() * 340
+            total += float(trees.log_nb(values.astype(float), mean, 10.0).sum()) if mean > 0 else 0.0
+        return total
+
+    def cuts(node):
+        yield [node]
+        if node >= n:
+            a, b, _, _ = merges[node - n]
+            yield from ([*x, *y] for x in cuts(a) for y in cuts(b))
+
+    best = max(sum(score(leaves[x]) for x in c) for c in cuts(len(leaves) - 1))
+    found = sum(score({i for i in range(n) if got[i] == g}) for g in set(got.tolist()))
+    assert found == pytest.approx(best)

@@ -12,10 +12,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contigloom.runtime import ship
+from contigloom.llm.chunks import slices
+from contigloom.runtime import ship, tidy
 
-#: No pre-token of a byte-level model runs from a non-space character on to a space.
-_BOUNDARY = re.compile(r"(?<=\S)[ \n]")
+#: No pre-token of a byte-level model runs from a non-space character on to white space, nor from a letter or digit on to these marks.
+_BOUNDARY = re.compile("(?<=\\S)[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]|(?<=[^\\W_])[\u3001\u3002\uff01\uff0c\uff1a\uff1b\uff1f]")
 _loaded: dict[str, object] = {}
 
 
@@ -39,7 +40,7 @@ def load_encoder(path: str):
 
 
 def safe_pieces(text: str, piece_chars: int) -> list[str]:
-    """Cut text at white space after a non-space, about every piece_chars; a run without such a place stays whole."""
+    """Cut text before white space after a non-space, or before a wide punctuation mark after a letter, about every piece_chars; a run without such a place stays whole."""
     if len(text) <= piece_chars:
         return [text]
     out, start = [], 0
@@ -71,7 +72,7 @@ def _lengths(texts: list[str], encode, batch_bytes: int, piece_chars: int, split
         for piece in safe_pieces(text, piece_chars) if split else [text]:
             rows.append(i)
             pieces.append(piece)
-            held += len(piece)
+            held += len(piece) if piece.isascii() else len(piece.encode())
             if held >= batch_bytes:
                 flush()
     flush()
@@ -91,11 +92,11 @@ def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = load_encoder(tokenizer)
-        for b in batches:
+        for b in (s for whole in batches for s in slices(whole, 1, 4096, 8 * batch_bytes)):
             col = b.column(1)
             n = _lengths(col.to_pylist(), encode, batch_bytes, piece_chars, split)
             size = pc.cast(pc.binary_length(col), pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), size, pa.array(n), pa.array(n > limit)], names=[key, "n_bytes", "n_tokens", "over_limit"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias(text)).mapInArrow(run, f"`{key}` {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias(text)).mapInArrow(tidy(run), f"`{key}` {kind}, n_bytes long, n_tokens long, over_limit boolean")

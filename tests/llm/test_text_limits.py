@@ -230,3 +230,16 @@ def test_stages_keep_columns_named_like_their_own(spark, tmp_path):
         d = spark.read.parquet(str(tmp_path / name))
         assert d.columns == docs.columns
         assert all(r["_mix_key"] == f"_mix_key{r['doc_id']}" and r["known"] == f"known{r['doc_id']}" for r in d.collect())
+
+
+def test_texts_without_plain_spaces_are_cut_safely():
+    from contigloom.llm import token_counts
+
+    encode = token_counts.load_encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(9)
+    pieces = ["漢字", "。", "，", "かな", "abc", "12", "_", "²", "\t", "\xa0", "　", " ", "\r\n", "  ", " ", "'s", "…", "！", "\x1c", "​", "'", "é"]
+    for _ in range(1500):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 30)))
+        cut = token_counts.safe_pieces(text, rng.randint(1, 6))
+        assert "".join(cut) == text and sum(encode(cut)) == encode([text])[0], text
+    assert len(token_counts.safe_pieces("漢字かな。" * 400, 100)) > 10

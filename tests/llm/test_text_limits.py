@@ -243,3 +243,18 @@ def test_texts_without_plain_spaces_are_cut_safely():
         cut = token_counts.safe_pieces(text, rng.randint(1, 6))
         assert "".join(cut) == text and sum(encode(cut)) == encode([text])[0], text
     assert len(token_counts.safe_pieces("漢字かな。" * 400, 100)) > 10
+
+
+def test_counts_by_pieces_are_those_of_the_library():
+    from contigloom.llm import token_counts
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encode = token_counts.load_encoder(path)
+    assert token_counts.counter_for(path) is not None and token_counts.counter_for(WORDS) is None
+    counter = token_counts.PieceCounter(path, "<|endoftext|>", slots=128)
+    size = counter.first.nbytes
+    rng = random.Random(4)
+    pieces = ["word", "The", " ", "  ", "\n", "\n\n", "\t", "\xa0", "　", " ", "\x85", " ", "é", "漢", "。", "'s", "'", "12", "...", "<|endoftext|>", "<|", "x" * 40, "\x1c", "‍", "🙂", "\r\n", ", "]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 14))) for _ in range(6000)] + ["", "a" * 3000 + " b" * 700]
+    assert counter.lengths([t.encode() for t in texts], 50).tolist() == encode(texts)
+    assert counter.first.nbytes == size and counter.lengths([]).tolist() == []

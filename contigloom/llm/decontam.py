@@ -10,6 +10,7 @@ SHORT characters allow no edits: they are met where their words stand consecutiv
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contigloom.llm.chunks import slices
-from contigloom.runtime import ship, tidy
+from contigloom.runtime import drop, keep, ship, tidy
 
 Q, WINDOW, SHARE, SHORT = 10, 64, 0.07, 10
 TABLE_BITS = 22
@@ -78,8 +79,8 @@ class Grams:
         item = np.repeat(np.array(which, np.int32), [len(p) for p in parts])
         place = np.concatenate([np.arange(len(p), dtype=np.int32) for p in parts])
         order = np.argsort(h, kind="stable")
-        self.hashes, self.start = np.unique(h[order], return_index=True)
-        self.end = np.append(self.start[1:], len(h))
+        self.hashes, start = np.unique(h[order], return_index=True)
+        self.start, self.end = start.astype(np.int32), np.append(start[1:], len(h)).astype(np.int32)
         self.item, self.place = item[order], place[order]
         self.table = np.zeros(1 << TABLE_BITS, np.bool_)
         self.table[self.hashes >> np.uint64(64 - TABLE_BITS)] = True
@@ -134,7 +135,7 @@ class Index:
         """(document, item, band) with hits enough for a window. The hits are expanded slice by slice and only their counts by band are held, of
         bands that later places can still reach; the band of a diagonal is its number over k + 1, and each hit counts in the next lower one too."""
         at, g = own.places(x)
-        size = own.end[g] - own.start[g]
+        size = (own.end[g] - own.start[g]).astype(np.int64)
         total = np.cumsum(size)
         low, key, n = 0, np.zeros(0, np.int64), np.zeros(0, np.int64)
         while low < len(at):
@@ -247,7 +248,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     (of the normal text).
 
     The items travel to the tasks as broadcasts of block_bytes of text each; a larger benchmark is taken block by block, one pass over the documents
-    for each, so memory is bounded for any size. No shuffle and no joins. Null and empty texts meet nothing; items of fewer than SHORT
+    for each, whose findings are written before the next, so a task holds one block whatever the benchmark's size. No shuffle and no joins. Null and empty texts meet nothing; items of fewer than SHORT
     characters in normal form are met word for word, null items and those without letters or digits never; equal items are all reported; repeated documents and null keys each get their own rows; other columns are left out.
     """
     spark = docs.sparkSession
@@ -276,10 +277,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
         return body.mapInArrow(tidy(run), schema)
 
-    out = None
+    parts, last = [], None
     for block in blocks_of(benchmark, item, item_text, block_bytes):
-        out = passed(block) if out is None else out.unionByName(passed(block))
-    return out
+        if last is not None:
+            parts.append(keep(passed(last), "met"))
+        last = block
+    # the last pass, for most benchmarks the only one, is left to the caller
+    return functools.reduce(DataFrame.unionByName, parts, passed(last))
 
 
 def blocks_of(benchmark: DataFrame, item: str, item_text: str, block_bytes: int) -> Iterator[list[tuple]]:
@@ -296,7 +300,7 @@ def blocks_of(benchmark: DataFrame, item: str, item_text: str, block_bytes: int)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", block_bytes: int = 4 << 20) -> DataFrame:
-    """docs without the rows that meet an item; one Arrow pass over all columns for each block of items.
+    """docs without the rows that meet an item; one Arrow pass over all columns for each block of items, written to the shared folder between two.
 
     Rows with null and empty texts stay, as do rows with a null key; repeated rows go or stay together; an empty table, or one of items, changes
     nothing; all columns are kept. What meeting an item means is stated above and the same as in contaminated().
@@ -317,6 +321,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
 
         return rows.mapInArrow(tidy(run), rows.schema)
 
+    kept, first = None, True
     for block in blocks_of(benchmark, item, item_text, block_bytes):
-        docs = passed(docs, block)
+        if not first:  # the documents left by a pass are written before the next one, which keeps one block in a task
+            docs, old = keep(docs, "left"), kept
+            kept = docs
+            if old is not None:
+                drop(old)
+        docs, first = passed(docs, block), False
     return docs

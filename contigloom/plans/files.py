@@ -71,7 +71,7 @@ HEADERS = {
     "ray": "'contig-' || key || ' ' || n * 20 || ' nucleotides'",
     "soap_contig": "key || '_' || n || '.5'",
     "soap_scaffold": "'scaffold' || key || ' ' || n || '.5'",
-    "scaffold": "'opera' || key || '\t' || 'length: ' || n * 20 || '\t' || 'cov: ' || n || '.5'",
+    "scaffold": "'scaf' || key || '\t' || 'length: ' || n * 20 || '\t' || 'cov: ' || n || '.5'",
     "plain": "'p' || key",
 }
 
@@ -205,7 +205,7 @@ def edges_by_distance(spark, sf):
 
 
 @query("""WITH c AS (SELECT l_orderkey AS s, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS pos, l_partkey AS p, l_returnflag = 'R' AS minus, CAST(trunc(l_quantity) AS INT) AS q FROM lineitem)
-SELECT 'opera_' || s AS scaffold, CAST(pos AS INT) AS pos, 'c' || p AS contig, CASE WHEN minus THEN '-' ELSE '+' END AS ori, q AS length, q % 5 AS gap FROM c""")
+SELECT 'scaf_' || s AS scaffold, CAST(pos AS INT) AS pos, 'c' || p AS contig, CASE WHEN minus THEN '-' ELSE '+' END AS ori, q AS length, q % 5 AS gap FROM c""")
 def scaffold_file(spark, sf):
     """Scaffold files: header lines and their children, in order."""
     path = _put(spark, writers.scaffold_lines(_children(spark, sf)), "scaffolds")
@@ -217,12 +217,12 @@ def _children(spark: SparkSession, sf: str) -> DataFrame:
 
     pos = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
     q = F.col("l_quantity").cast("int")
-    return t.table(spark, sf, "lineitem").select(F.concat(F.lit("opera_"), _text("l_orderkey")).alias("scaffold"), pos.alias("pos"), F.concat(F.lit("c"), _text("l_partkey")).alias("contig"), F.when(F.col("l_returnflag") == "R", "-").otherwise("+").alias("ori"), q.alias("length"), (q % 5).alias("gap"))
+    return t.table(spark, sf, "lineitem").select(F.concat(F.lit("scaf_"), _text("l_orderkey")).alias("scaffold"), pos.alias("pos"), F.concat(F.lit("c"), _text("l_partkey")).alias("contig"), F.when(F.col("l_returnflag") == "R", "-").otherwise("+").alias("ori"), q.alias("length"), (q % 5).alias("gap"))
 
 
 @query(f"""WITH {CONTIGS}, c AS (SELECT l_orderkey AS s, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS pos, l_partkey AS p, l_returnflag = 'R' AS minus, CAST(trunc(l_quantity) AS INT) AS q FROM lineitem),
 j AS (SELECT s, pos, CASE WHEN minus THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END || CASE WHEN lead(pos) OVER (PARTITION BY s ORDER BY pos) IS NULL THEN '' ELSE repeat('N', greatest(q % 5 * 4, 10)) END AS piece FROM c JOIN contigs ON key = p)
-SELECT 'opera_' || s AS scaffold, md5(string_agg(piece, '' ORDER BY pos)) AS digest FROM j GROUP BY s""")
+SELECT 'scaf_' || s AS scaffold, md5(string_agg(piece, '' ORDER BY pos)) AS digest FROM j GROUP BY s""")
 def scaffold_sequence_file(spark, sf):
     """Scaffold sequences, gaps as N, written as FASTA and read back."""
     children = _children(spark, sf).withColumn("gap", F.col("gap") * 4)

@@ -87,6 +87,18 @@ z AS (SELECT lab FROM f ORDER BY rn DESC LIMIT 1)
 SELECT z.lab[la] AS component, CAST(row_number() OVER (PARTITION BY z.lab[la] ORDER BY rn) AS INT) AS merge, la AS "left", lb AS "right", round(weight, 6) AS weight, CAST(size AS INT) AS size FROM f, z WHERE la IS NOT NULL"""
 
 
+_MEET = "lab[c1] <> lab[c2] AND len(list_intersect(refs[lab[c1]], refs[lab[c2]])) > 0"
+FOLDS["super_clusters_greedy"] = f"""WITH RECURSIVE {t.EDGES}, {flat.RATES},
+w AS (SELECT c1, c2, max(CASE WHEN greatest(a.rate, b.rate) = 0 THEN 0 ELSE (greatest(a.rate, b.rate) - least(a.rate, b.rate)) / greatest(a.rate, b.rate) END) AS weight FROM edges JOIN rates a ON c1 = a.id JOIN rates b ON c2 = b.id AND a.sample = b.sample WHERE support >= 3 GROUP BY 1, 2),
+e AS (SELECT *, row_number() OVER (ORDER BY weight, c1, c2) AS rn FROM w), v AS (SELECT p_partkey AS v, [p_type, p_brand] AS r FROM part WHERE p_partkey IN (SELECT c1 FROM e UNION SELECT c2 FROM e)),
+f(rn, lab, refs) AS (SELECT 0::BIGINT, (SELECT map_from_entries(list((v, v))) FROM v), (SELECT map_from_entries(list((v, r))) FROM v)
+  UNION ALL SELECT e.rn, CASE WHEN {_MEET} THEN map_from_entries(list_transform(map_entries(lab), lambda x: (x.key, CASE WHEN x.value = greatest(lab[c1], lab[c2]) THEN least(lab[c1], lab[c2]) ELSE x.value END))) ELSE lab END,
+    CASE WHEN {_MEET} THEN map_from_entries(list_transform(map_entries(refs), lambda x: (x.key, CASE WHEN x.key = least(lab[c1], lab[c2]) THEN list_intersect(refs[lab[c1]], refs[lab[c2]]) ELSE x.value END))) ELSE refs END
+  FROM f JOIN e ON e.rn = f.rn + 1),
+z AS (SELECT lab FROM f ORDER BY rn DESC LIMIT 1)
+SELECT p_partkey AS cluster, coalesce(z.lab[p_partkey], p_partkey) AS super_cluster FROM part, z"""
+
+
 def _distances(spark, sf):
     """Edge distances of one library per return flag: c1, o1, c2, o2, dist, std, lib."""
     li = t.table(spark, sf, "lineitem")

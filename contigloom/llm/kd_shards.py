@@ -13,8 +13,10 @@ import heapq
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contigloom.runtime import drop, keep, ship, tidy
@@ -38,6 +40,11 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df.hint("merge")
 
 
+def _local(spark: SparkSession, rows: list[tuple], **kinds: str) -> DataFrame:
+    """A table of the driver's, without a job."""
+    return spark.createDataFrame(pa.table([pa.array(np.array(x, kinds[name])) for x, name in zip(zip(*rows), kinds)], names=list(kinds)))
+
+
 def points(docs: DataFrame, key: str, text: str, metadata: list[str]) -> tuple[DataFrame, int]:
     """(rows, dimensions): row, key, size, crc, same (a hash of the text) and the values v0, v1, ... of every row, as a table in the shared folder."""
     body = F.coalesce(F.col(text), F.lit(""))
@@ -134,7 +141,7 @@ def build(rows: DataFrame, dims: int, room: list[float], share: float) -> tuple[
             todo.append((low, dim, r[f"min{dim}"], r[f"max{dim}"], 0, float(wanted)))
         found = []
         while todo:
-            t = spark.createDataFrame([(*x, max(0, (x[3] - x[2]).bit_length() - BIN_BITS)) for x in todo], "node int, dim int, a long, b long, below long, wanted double, shift int")
+            t = _local(spark, [(*x, max(0, (x[3] - x[2]).bit_length() - BIN_BITS)) for x in todo], node="i4", dim="i4", a="i8", b="i8", below="i8", wanted="f8", shift="i4")
             own = rows.join(_small(t, len(todo)), "node").withColumn("k", k).filter(F.col("k").between(F.col("a"), F.col("b"))).withColumn("bin", F.expr("shiftright(k - a, shift)"))
             bins = own.groupBy("node", "bin").agg(F.sum("size").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi"), F.first("below").alias("below"), F.first("wanted").alias("wanted"), F.first("dim").alias("dim"))
             in_node = Window.partitionBy("node").orderBy("bin")
@@ -149,7 +156,7 @@ def build(rows: DataFrame, dims: int, room: list[float], share: float) -> tuple[
         if not found:
             break
         cuts |= {(low, ends[low]): (dim, cut) for low, dim, cut in found}
-        t = spark.createDataFrame([(low, dim, cut, low + (ends[low] - low) // 2) for low, dim, cut in found], "node int, dim int, cut long, mid int")
+        t = _local(spark, [(low, dim, cut, low + (ends[low] - low) // 2) for low, dim, cut in found], node="i4", dim="i4", cut="i8", mid="i4")
         moved = rows.join(_small(t, len(found)), "node", "left").withColumn("node", F.when(k > F.col("cut"), F.col("mid")).otherwise(F.col("node")))
         last, rows = rows, keep(moved.select(rows.columns), "keyed")
         drop(last)

@@ -23,9 +23,9 @@ def gap_coordinates(reads: DataFrame) -> DataFrame:
 def gap_sequences(gaps: DataFrame, reads: DataFrame) -> DataFrame:
     """edge, read, overlap, seq: what a read holds between start and end (0-based, half-open), reverse-complemented where reverse; ends before the start are an overlap and give no sequence.
 
-    gaps: edge, read, start, end, reverse; reads: name, seq.
+    gaps: edge, read, start, end, reverse; reads: name, seq. Sequences are never broadcast: their size is not known from their files' or columns'.
     """
-    j = gaps.join(reads.select(F.col("name").alias("read"), F.col("seq").alias("_seq")), "read")
+    j = gaps.join(reads.select(F.col("name").alias("read"), F.col("seq").alias("_seq")).hint("merge"), "read")
     piece = F.substring("_seq", F.col("start") + 1, F.col("end") - F.col("start"))
     over = F.col("end") < F.col("start")
     return j.select("edge", "read", F.when(over, F.col("start") - F.col("end")).alias("overlap"), F.when(over, "").otherwise(F.when(F.col("reverse"), reverse_complement(piece)).otherwise(piece)).alias("seq"))

@@ -160,3 +160,13 @@ def test_components_in_one_task_and_by_rounds(spark):
         one, many = (sorted(map(tuple, graph.connected_components(e, local_arcs=n).collect())) for n in (1 << 20, 0))
         assert one == many and len({v for v, _ in one}) == len(one)
     assert graph.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_gap_sequences_of_small_files_are_not_broadcast(spark, tmp_path):
+    spark.range(50).write.parquet(str(tmp_path / "keys"))
+    keys = spark.read.parquet(str(tmp_path / "keys"))
+    reads = keys.select(F.col("id").alias("name"), F.repeat(F.lit("ACGT"), F.lit(300)).alias("seq"))  # longer than the planner takes them for
+    g = keys.select(F.col("id").alias("edge"), F.col("id").alias("read"), F.lit(1).alias("start"), F.lit(5).alias("end"), F.lit(False).alias("reverse"))
+    out = gaps.gap_sequences(g, reads)
+    assert {r["seq"] for r in out.collect()} == {"CGTA"} and out.count() == 50
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()

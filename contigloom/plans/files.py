@@ -112,7 +112,7 @@ def genome_catalog_folders(spark, sf):
     return files.groupBy(F.regexp_extract("path", "([^/=]+)/[^/]*$", 1).alias("bin")).agg(F.sum("n_seq").alias("n_seq"), F.sum("length").alias("length"))
 
 
-def _sam(spark: SparkSession, sf: str) -> DataFrame:
+def _sam(spark: SparkSession, sf: str, lines: bool = False) -> DataFrame:
     li = t.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", F.col("l_quantity").cast("int").alias("q"), "l_extendedprice")
     name = F.concat(F.lit("r"), _text("l_orderkey"), F.lit("."), _text("l_linenumber"), F.lit("."), _text(F.col("l_extendedprice").cast("bigint")))
 
@@ -124,7 +124,7 @@ def _sam(spark: SparkSession, sf: str) -> DataFrame:
     two = mate(2, "l_suppkey", F.col("l_linestatus") == "O", F.col("q") % 7 != 0)
     path = _put(spark, writers.with_header(li.select(F.concat_ws("\n", one, two).alias("value")), "@HD\tVN:1.6"), "sam")
     assert readers.sniff_mapping(spark, path) == "sam"
-    return readers.read_sam(spark, path)
+    return readers.read_sam(spark, path, lines)
 
 
 SAM = "s AS (SELECT 'r' || l_orderkey || '.' || l_linenumber || '.' || CAST(trunc(l_extendedprice) AS BIGINT) AS stem, 'c' || l_partkey AS a, 'c' || l_suppkey AS b, l_returnflag = 'R' AS ra, l_linestatus = 'O' AS rb, CAST(trunc(l_quantity) AS INT) AS q FROM lineitem)"
@@ -140,7 +140,7 @@ def sam_first_mates(spark, sf):
 @query(f"WITH {SAM} SELECT stem, CASE WHEN ra THEN '-' ELSE '+' END AS ori1, a AS contig1, q AS pos1, CASE WHEN rb THEN '-' ELSE '+' END AS ori2, b AS contig2, q + 1 AS pos2 FROM s WHERE q % 7 <> 0")
 def sam_mates(spark, sf):
     """Mapped rows in the other mapper's columns, and the two mates of a read together."""
-    return readers.mate_pairs(readers.sam_to_bowtie(_sam(spark, sf))).drop("seq1", "seq2")
+    return readers.mate_pairs(readers.sam_to_bowtie(_sam(spark, sf, lines=True))).drop("seq1", "seq2")
 
 
 @query("""WITH a AS (SELECT l_orderkey AS o, l_partkey AS p, CAST(trunc(l_quantity) AS INT) AS q, l_linenumber AS n, l_returnflag = 'R' AS minus FROM lineitem)

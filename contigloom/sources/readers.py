@@ -19,7 +19,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     parts = raw.groupBy("file", "_part").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy("file").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     parts = parts.select("file", "_part", "_first", before.alias("_before"))
-    return raw.join(parts, ["file", "_part"]).select("file", (F.col("_before") + F.col("_id") - F.col("_first")).alias("line"), "value")
+    return raw.join(F.broadcast(parts), ["file", "_part"]).select("file", (F.col("_before") + F.col("_id") - F.col("_first")).alias("line"), "value")
 
 
 #: Lines that one window of filled() holds.
@@ -103,11 +103,11 @@ SAM_COLUMNS = ("qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext
 _SAM_INTS = ("flag", "pos", "mapq", "pnext", "tlen")
 
 
-def read_sam(spark: SparkSession, path: str) -> DataFrame:
-    """The eleven columns of a SAM file (pos 1-based)."""
-    t = spark.read.text(path).filter(~F.col("value").rlike(r"^@[A-Z]{2}(\t|$)") & F.contains("value", F.lit("\t")))
+def read_sam(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """The eleven columns of a SAM file (pos 1-based). With lines, file and line (0-based) of each too."""
+    t = (numbered_lines(spark, path) if lines else spark.read.text(path)).filter(~F.col("value").rlike(r"^@[A-Z]{2}(\t|$)") & F.contains("value", F.lit("\t")))
     f = F.split("value", "\t")
-    return t.select(*((F.get(f, F.lit(i)).try_cast("int") if n in _SAM_INTS else F.get(f, F.lit(i))).alias(n) for i, n in enumerate(SAM_COLUMNS)))
+    return t.select(*((F.get(f, F.lit(i)).try_cast("int") if n in _SAM_INTS else F.get(f, F.lit(i))).alias(n) for i, n in enumerate(SAM_COLUMNS)), *(("file", "line") if lines else ()))
 
 
 def sam_hits(sam: DataFrame, strict: bool = False) -> DataFrame:
@@ -118,15 +118,40 @@ def sam_hits(sam: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def sam_to_bowtie(sam: DataFrame) -> DataFrame:
-    """read, ori, contig, pos (0-based), seq of mapped rows."""
-    return sam.filter(F.col("flag").bitwiseAND(4) == 0).select(F.col("qname").alias("read"), F.when(F.col("flag").bitwiseAND(16) != 0, "-").otherwise("+").alias("ori"), F.col("rname").alias("contig"), (F.col("pos") - 1).alias("pos"), "seq")
+    """read, ori, contig, pos (0-based), seq of mapped rows, and their file and line if sam has them."""
+    return sam.filter(F.col("flag").bitwiseAND(4) == 0).select(F.col("qname").alias("read"), F.when(F.col("flag").bitwiseAND(16) != 0, "-").otherwise("+").alias("ori"), F.col("rname").alias("contig"), (F.col("pos") - 1).alias("pos"), "seq", *(c for c in ("file", "line") if c in sam.columns))
+
+
+MATE_COLUMNS = ("ori", "contig", "pos", "seq")
 
 
 def mate_pairs(aln: DataFrame) -> DataFrame:
-    """Both mates of a read, by its name without the last two characters: stem and the columns of mate 1 and 2."""
-    stem = F.expr("substring(read, 1, length(read) - 2)")
-    a, b = (aln.filter(F.endswith("read", F.lit(str(i)))).select(stem.alias("stem"), *(F.col(c).alias(f"{c}{i}") for c in ("ori", "contig", "pos", "seq"))) for i in (1, 2))
-    return a.join(b, "stem")
+    """Both mates of a read, by its name without the last two characters: stem and the columns of mate 1 and 2.
+
+    Reads that share a name are told apart if aln has file and line: mates on neighbouring lines are one read's. Of an odd number of such lines in a row, that begin with
+    a mate 2, the first one is left over, else the last. Mates that are left over go by the name alone, like all those without lines.
+    """
+    rows = aln.withColumns({"stem": F.expr("substring(read, 1, length(read) - 2)"), "_mate": F.expr("right(read, 1)")}).filter(F.col("_mate").isin("1", "2"))
+
+    def side(df: DataFrame, i: int) -> DataFrame:
+        return df.filter(F.col("_mate") == str(i)).select("stem", *(F.col(c).alias(f"{c}{i}") for c in MATE_COLUMNS))
+
+    if not {"file", "line"} <= set(aln.columns):
+        return side(rows, 1).join(side(rows, 2), "stem")
+    name = Window.partitionBy("stem").orderBy("file", "line")
+    follows = (F.lag("file").over(name) == F.col("file")) & (F.lag("line").over(name) == F.col("line") - 1) & (F.lag("_mate").over(name) != F.col("_mate"))
+    rows = rows.withColumn("_new", F.when(follows, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(name.rowsBetween(Window.unboundedPreceding, 0)))
+    run = Window.partitionBy("stem", "_run").orderBy("line")
+    whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumns({"_n": F.count("*").over(whole), "_k": F.row_number().over(run), "_next": F.lead(F.struct(*MATE_COLUMNS)).over(run)})
+    odd = F.col("_n") % 2 == 1
+    late = odd & (F.col("_mate") == F.when(F.col("_k") % 2 == 1, "2").otherwise("1"))  # begins with a mate 2
+    rows = rows.withColumns({"_alone": odd & (F.col("_k") == F.when(late, 1).otherwise(F.col("_n"))), "_first": F.col("_k") % 2 == F.when(late, 0).otherwise(1)})
+    others = F.collect_list(F.when(F.col("_alone") & (F.col("_mate") == "2"), F.struct(*MATE_COLUMNS))).over(Window.partitionBy("stem"))
+    rows = rows.withColumn("_others", others)
+    rows = rows.withColumn("_other", F.explode(F.when(F.col("_alone"), F.when(F.col("_mate") == "1", F.col("_others"))).when(F.col("_first"), F.array("_next"))))
+    of = lambda c, i: F.when(F.col("_mate") == str(i), F.col(c)).otherwise(F.col(f"_other.{c}")).alias(f"{c}{i}")
+    return rows.select("stem", *(of(c, i) for i in (1, 2) for c in MATE_COLUMNS))
 
 
 def read_long_alignments(spark: SparkSession, path: str, kind: str = "paf") -> DataFrame:

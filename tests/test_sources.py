@@ -139,3 +139,34 @@ def test_scratch_is_released(spark):
     runtime.keep(spark.range(5), "test")
     runtime.release(spark)
     assert not folder.parent.exists()
+
+
+def test_mates_of_reads_that_share_a_name(spark, tmp_path):
+    line = lambda q, flag, rname, pos: "\t".join([q, str(flag), rname, str(pos), "60", "4M", "*", "0", "0", "ACGT", "IIII"])
+    blocks = [
+        [("x/1", 0, "a", 1), ("x/2", 0, "b", 2), ("x/1", 0, "c", 3), ("x/2", 16, "d", 4)],  # two reads, one name
+        [("y/1", 0, "a", 5), ("y/2", 4, "*", 0), ("y/1", 0, "b", 6), ("y/2", 0, "c", 7)],  # the first one's mate is not mapped
+        [("z/1", 4, "*", 0), ("z/2", 0, "a", 8), ("z/1", 0, "b", 9), ("z/2", 0, "c", 10)],
+        [("w/2", 0, "a", 11), ("w/1", 0, "b", 12), ("w/2", 0, "c", 13), ("w/1", 0, "d", 14)],  # mate 2 first
+        [("v/1", 0, "a", 15)],
+        [("u/1", 0, "a", 16), ("u/2", 0, "b", 17)],
+        [("v/2", 0, "b", 18)],  # far from its mate
+        [("x/1", 0, "e", 19), ("x/2", 0, "f", 20), ("t/1", 0, "a", 21)],
+    ]
+    p = put(tmp_path, "a.sam", "@HD\tVN:1.6\n" + "".join(line(*x) + "\n" for b in blocks for x in b))
+    pair = readers.mate_pairs(readers.sam_to_bowtie(readers.read_sam(spark, p, lines=True)))
+    got = sorted((r["stem"], r["contig1"], r["pos1"], r["contig2"], r["pos2"]) for r in pair.collect())
+    assert got == [("u", "a", 15, "b", 16), ("v", "a", 14, "b", 17), ("w", "b", 11, "a", 10), ("w", "d", 13, "c", 12), ("x", "a", 0, "b", 1), ("x", "c", 2, "d", 3), ("x", "e", 18, "f", 19), ("y", "b", 5, "c", 6), ("z", "b", 8, "c", 9)]
+    assert pair.columns == ["stem", "ori1", "contig1", "pos1", "seq1", "ori2", "contig2", "pos2", "seq2"]
+
+
+def test_sam_mates_of_equal_names_match_sql(spark, tmp_path):
+    import duckdb
+
+    from contigloom.plans import files
+
+    keys = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_returnflag string, l_linestatus string, l_quantity double, l_extendedprice double"
+    rows = [(1, 2, 30, 4, "R", "O", 18.0, 100.25), (1, 2, 31, 5, "N", "F", 33.0, 100.75), (1, 2, 32, 6, "N", "F", 7.0, 100.5), (1, 3, 30, 4, "R", "F", 9.0, 100.5)]
+    spark.createDataFrame(rows, keys).coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    want = duckdb.sql(files.ORACLES["sam_mates"].replace("FROM lineitem", f"FROM '{tmp_path}/lineitem.parquet/*.parquet'")).fetchall()
+    assert sorted(map(tuple, files.QUERIES["sam_mates"](spark, str(tmp_path)).select("stem", "ori1", "contig1", "pos1", "ori2", "contig2", "pos2").collect())) == sorted(want)

@@ -260,14 +260,14 @@ def satisfied_repeat_edges(edges: DataFrame, placed: DataFrame, k: int = 60, n_s
 
     placed: scaffold, contig, ori, start (0-based), length.
     """
-    e = edges.withColumn("_id", F.monotonically_increasing_id())
+    what = ["c1", "c2", "o1", "o2", "dist", "std"]  # a number given to each edge would not be the same on both sides of the join below
     a, b = (placed.select("scaffold", F.col("contig").alias(f"c{i}"), F.col("ori").alias(f"w{i}"), F.col("start").alias(f"s{i}"), F.col("length").alias(f"l{i}")) for i in (1, 2))
-    j = e.join(a, "c1").join(b, ["c2", "scaffold"])
+    j = edges.select(*what).join(a, "c1").join(b, ["c2", "scaffold"])
     far = F.col("dist") + n_sd * F.col("std") + k
     onward = (F.col("w1") == F.col("o1")) & (F.col("w2") == F.col("o2")) & (F.col("s1") < F.col("s2")) & (F.col("s2") - F.col("s1") - F.col("l1") <= far)
     back = (F.col("w1") != F.col("o1")) & (F.col("w2") != F.col("o2")) & (F.col("s2") < F.col("s1")) & (F.col("s1") - F.col("s2") - F.col("l2") <= far)
-    good = j.filter(onward | back).select("_id").distinct().withColumn("satisfied", F.lit(True))
-    return e.join(good, "_id", "left").withColumn("satisfied", F.coalesce("satisfied", F.lit(False))).drop("_id")
+    good = j.filter(onward | back).select(*what).distinct().withColumn("satisfied", F.lit(True))
+    return edges.join(good, what, "left").select(*edges.columns, F.coalesce("satisfied", F.lit(False)).alias("satisfied"))
 
 
 def scaffold_sequences(scaffolds: DataFrame, seqs: DataFrame, min_gap: int = 10, fillings: DataFrame | None = None) -> DataFrame:

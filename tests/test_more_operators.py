@@ -170,3 +170,20 @@ def test_gap_sequences_of_small_files_are_not_broadcast(spark, tmp_path):
     out = gaps.gap_sequences(g, reads)
     assert {r["seq"] for r in out.collect()} == {"CGTA"} and out.count() == 50
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_satisfied_edges_of_a_table_whose_rows_change_their_order(spark):
+    placed = spark.createDataFrame([(1, c, "+", c * 10, 10) for c in range(40)], "scaffold long, contig long, ori string, start int, length int")
+
+    def shuffled(batches):  # as after an exchange, whose rows come in another order each time
+        import random
+
+        for b in batches:
+            yield b.take(random.sample(range(b.num_rows), b.num_rows))
+
+    e = spark.range(39).coalesce(1).mapInArrow(shuffled, "id long").selectExpr("id AS c1", "id + 1 AS c2", "'+' AS o1", "if(id % 3 = 0, '+', '-') AS o2", "0 AS dist", "5 AS std", "1 AS support")
+    out = scaffold.satisfied_repeat_edges(e, placed)
+    got = {r["c1"]: r["satisfied"] for r in out.collect()}
+    assert got == {k: k % 3 == 0 for k in range(39)} and out.columns == [*e.columns, "satisfied"]
+    twice = spark.createDataFrame([(0, 1, "+", "+", 0, 5)] * 2 + [(0, 1, "+", "-", 0, 5), (0, 1, "+", "+", None, 5), (None, 1, "+", "+", 0, 5)], "c1 long, c2 long, o1 string, o2 string, dist int, std int")
+    assert sorted(r["satisfied"] for r in scaffold.satisfied_repeat_edges(twice, placed).collect()) == [False] * 3 + [True] * 2

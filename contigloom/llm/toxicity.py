@@ -9,6 +9,7 @@ the score itself never sees the language.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 
@@ -228,17 +229,26 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """Fit on a sample of labelled rows outside the held-out fifth, see fit_sample(); most_rows bounds it, whatever the size of the tables.
 
     Sampled texts are whole, however long; null and empty ones are texts of no words. Of documents that share a key, all are taken. Fewer than
-    least_rows rows of a class tell nothing that holds for other texts: the model then says nearly 0 for every text.
+    least_rows rows of a class tell nothing that holds for other texts: the model then says nearly 0 for every text. The texts meet in one task, which
+    fits the model; the driver gets the model alone, of a fixed size.
     """
+    spark = docs.sparkSession
+    ship(spark)
     picked = keep(fit_sample(docs, labels, key, label, most_rows), "fit_keys")
     plain = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    rows = plain.join(F.broadcast(picked), key).orderBy(F.xxhash64(F.lit(11), key), key, "_text").select("_text", "_label")
-    texts, y = [], []
-    for r in rows.collect():
-        texts.append(r["_text"].encode())
-        y.append(r["_label"])
-    enough = min(y.count(0), y.count(1)) >= least_rows
-    model = fit(texts, np.array(y, np.int64)) if enough else constant_model()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, y = [], []
+        for b in batches:
+            texts += b.column(0).cast(pa.binary()).to_pylist()
+            y += b.column(1).to_pylist()
+        if min(y.count(0), y.count(1)) >= least_rows:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, np.array(y, np.int64)))], pa.binary())], names=["model"])
+
+    order = [F.xxhash64(F.lit(11), key), key, "_text"]
+    rows = plain.join(F.broadcast(picked), key).repartition(1).sortWithinPartitions(*order).select("_text", "_label")
+    found = rows.mapInArrow(tidy(run), "model binary").collect()
+    model = pickle.loads(found[0]["model"]) if found else constant_model()
     model.fit_keys = picked
     return model
 
